@@ -151,6 +151,18 @@ def column_types(df: DataFrame) -> DataFrame:
         F.coalesce("missing_percentage", F.lit(0.0)).alias("missing_percentage"))
 
 
+def _distinct_names(df: DataFrame) -> DataFrame:
+    """A table whose repeated column names carry their occurrence, so that each can be measured."""
+    if len(set(df.columns)) == len(df.columns):
+        return df
+    seen: dict[str, int] = {}
+    names = []
+    for name in df.columns:
+        seen[name] = seen.get(name, 0) + 1
+        names.append(name if seen[name] == 1 else f"{name}#{seen[name]}")
+    return df.toDF(*names)
+
+
 def _only(rule: str):
     def single(df: DataFrame, limits: InputLimits = InputLimits(), columns: Sequence[str] | None = None) -> DataFrame:
         return gate_rules(df, limits, columns=columns).where(F.col("rule") == rule)
@@ -175,8 +187,9 @@ def validate_input(df: DataFrame, limits: InputLimits = InputLimits(), rules: Se
     """All input rules. ``strict`` raises the first failing gate instead of returning it."""
     if df is None:
         raise InputError("input table is missing")
-    report = gate_rules(df, limits, rules, columns)
-    report = report.unionByName(rule_column_names(df)).unionByName(rule_high_cardinality(df, limits, columns))
+    named = _distinct_names(df)
+    report = gate_rules(named, limits, rules, columns)
+    report = report.unionByName(rule_column_names(df)).unionByName(rule_high_cardinality(named, limits, columns))
     if strict:
         failed = report.where("severity = 'error' and not passed").orderBy("position", "column").limit(1).collect()
         if failed:
