@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Sequence
 
 import pyarrow as pa
@@ -11,17 +12,18 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the session's checkpoint folder and read it from there.
-
-    The folder is the cluster's ``spark.checkpoint.dir``; only a session that names none
-    (unit tests) gets a scratch folder.
-    """
-    spark = df.sparkSession
+def _checkpoint_folder(spark: SparkSession) -> str:
+    """The cluster's ``spark.checkpoint.dir``; only a session that names none (unit tests) gets a scratch folder."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="lacuna-checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the session's checkpoint folder and read it from there."""
+    _checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
@@ -40,3 +42,8 @@ def local_table(spark: SparkSession, rows: Sequence, schema: T.StructType | str)
 def small_table(df: DataFrame) -> DataFrame:
     """Materialise control data (rows bounded by the number of columns) as a local relation."""
     return local_table(df.sparkSession, df.collect(), df.schema)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path inside the session's checkpoint folder, which every executor can reach."""
+    return f"{_checkpoint_folder(spark)}/{name}-{uuid.uuid4().hex}"

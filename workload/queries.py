@@ -8,7 +8,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lacuna.functions.columns import round_half_even
+from lacuna.functions.columns import as_text, round_half_even
+from lacuna.functions.durable import scratch_path
 from lacuna.operators import cache as C
 from lacuna.operators import cells as P
 from lacuna.operators import impute as I
@@ -23,8 +24,10 @@ from lacuna.operators import respond as S
 from lacuna.params import DOMAIN_KEYWORDS, FillParams, InputLimits
 from lacuna.plans.analyze import analyze
 from lacuna.plans.fill import fill_missing
-from lacuna.plans.process import fill_same_schema
-from lacuna.sources.scan import scan_parquet
+from lacuna.plans.process import fill_files, fill_same_schema, process
+from lacuna.sources.scan import check_source, scan_csv, scan_parquet
+from lacuna.sources.sink import write_csv
+from lacuna.streaming.live import stream_distinct_prompts, stream_fill, stream_fill_by, stream_gate, stream_summary
 from workload.tables import read, with_tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -944,3 +947,135 @@ def spans_query(spark, sf):
 @query("orphan_ends", "SELECT operation_id, success FROM span_ends WHERE operation_id NOT IN (SELECT operation_id FROM span_starts)", ("span_starts", "span_ends"))
 def orphan_query(spark, sf):
     return M.orphan_ends(read(spark, sf, "span_starts"), read(spark, sf, "span_ends")).select("operation_id", "success")
+
+
+# ---------------------------------------------------------------- files
+
+
+@query("scan_csv", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer_m", ("customer_m",))
+def scan_csv_query(spark, sf):
+    """The masked table written as delimited text, its gaps as varying NA tokens, and read back."""
+    path = scratch_path(spark, "customer") + ".csv"
+    df = read(spark, sf, "customer_m")
+    token = F.element_at(F.array(*[F.lit(t) for t in ("NA", "null", "<NA>", "nan", "#N/A")]), (F.col("c_custkey") % 5 + 1).cast("int"))
+    gaps = df.select("c_custkey", "c_name", "c_nationkey", *[
+        F.coalesce(as_text(df, c), token).alias(c) for c in ("c_acctbal", "c_mktsegment")])
+    write_csv(gaps, path)
+    return scan_csv(spark, path).withColumn("c_nationkey", F.col("c_nationkey").cast("int"))
+
+
+@query("check_source", "SELECT TRUE AS ok, COUNT(*) AS rows FROM customer UNION ALL SELECT FALSE, 0")
+def check_source_query(spark, sf):
+    verdicts = check_source(spark, f"{sf}/customer.parquet").unionByName(check_source(spark, f"{sf}/customer.xyz"))
+    rows = scan_parquet(spark, f"{sf}/customer.parquet").agg(F.count(F.lit(1)).alias("n"))
+    return verdicts.join(F.broadcast(rows.withColumn("ok", F.lit(True))), "ok", "left").select(
+        "ok", F.coalesce("n", F.lit(0)).alias("rows"))
+
+
+@query("fill_files", """SELECT 0 AS batch_index, TRUE AS success, COUNT(*) AS rows, COUNT(*) FILTER (WHERE c_acctbal IS NULL) AS fills FROM customer_m
+       UNION ALL SELECT 1, FALSE, NULL, NULL UNION ALL SELECT 2, TRUE, COUNT(*), 0 FROM supplier""", ("customer_m",))
+def fill_files_query(spark, sf):
+    """Three files: one with gaps in a numeric and a text column, one that does not exist, one complete."""
+    first = scratch_path(spark, "customer") + ".parquet"
+    read(spark, sf, "customer_m").select("c_custkey", "c_nationkey", "c_acctbal").write.parquet(first)
+    reports, _ = fill_files(spark, [first, f"{sf}/absent.parquet", f"{sf}/supplier.parquet"], scratch_path(spark, "out"), RUN_TS)
+    return reports.select("batch_index", "success", "rows", "fills")
+
+
+@query("process", """SELECT COUNT(*) AS total_rows_processed, COUNT(*) FILTER (WHERE o_totalprice IS NULL) AS total_fields_filled,
+       'knn_imputation' AS methods, 100.0::DOUBLE AS overall_quality_score, 'excellent' AS status, 0 AS violations FROM orders_m""", ("orders_m",))
+def process_query(spark, sf):
+    df = read(spark, sf, "orders_m").select("o_orderkey", "o_custkey", "o_totalprice")
+    report = process(df, "o_orderkey", RUN_TS)
+    broken = report.output_rules.agg(F.sum("violations").alias("violations")).withColumn("k", F.lit(1))
+    return report.summary.withColumn("k", F.lit(1)).join(broken, "k").select(
+        "total_rows_processed", "total_fields_filled", F.array_join("processing_methods_used", ",").alias("methods"),
+        "overall_quality_score", "status", "violations")
+
+
+@query("respond", "SELECT sha256('prompt of ' || user_id) AS cache_key, 'asked: prompt of ' || user_id AS response_text, 'ok' AS status FROM events GROUP BY user_id")
+def respond_query(spark, sf):
+    prompts = read(spark, sf, "events").select(F.concat(F.lit("prompt of "), F.col("user_id")).alias("prompt")).distinct()
+    asked = S.respond(prompts.withColumn("cache_key", F.sha2("prompt", 256)), lambda prompt: f" asked: {prompt} ")
+    return asked.select("cache_key", "response_text", "status")
+
+
+# ---------------------------------------------------------------- streams
+
+
+def stream_events(spark, sf, *columns: str) -> DataFrame:
+    """The events file as a stream, with the same gaps as the masked table."""
+    schema = spark.read.parquet(f"{sf}/events.parquet").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    return stream.selectExpr(*columns)
+
+
+def drained(stream: DataFrame, spark: SparkSession, name: str) -> DataFrame:
+    """Run a stream over everything available into files and read them back."""
+    path = scratch_path(spark, name)
+    stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", path + "-state").trigger(
+        availableNow=True).start().awaitTermination()
+    return spark.read.schema(stream.schema).parquet(path)
+
+
+@query("stream_fill", f"SELECT event_id, COALESCE(value, (SELECT {MEDIAN.format('value')} FROM events_m)) AS value FROM events_m", ("events_m",))
+def stream_fill_query(spark, sf):
+    frozen = I.median_statistic(read(spark, sf, "events_m"), "value").select(round_half_even(F.col("median"), 2)).first()[0]
+    stream = stream_events(spark, sf, "event_id", "CASE WHEN event_id % 10 <> 7 THEN value END AS value")
+    return drained(stream_fill(stream, {"value": frozen}), spark, "stream-fill")
+
+
+@query("stream_fill_by", """SELECT e.event_id, e.user_id, COALESCE(e.value, m.v) AS value FROM events_m e LEFT JOIN
+       (SELECT user_id, median(value) AS v FROM events_m WHERE value IS NOT NULL GROUP BY user_id) m ON m.user_id = e.user_id""", ("events_m",))
+def stream_fill_by_query(spark, sf):
+    stats = I.median_statistic(read(spark, sf, "events_m"), "value", ["user_id"])
+    stream = stream_events(spark, sf, "event_id", "user_id", "CASE WHEN event_id % 10 <> 7 THEN value END AS value")
+    return drained(stream_fill_by(stream, "value", stats, "user_id", "median"), spark, "stream-fill-by")
+
+
+WINDOWS = """SELECT epoch_us(w) AS window_us, operation, COUNT(*) AS count, round(AVG(duration_seconds), 4) AS avg_duration, MAX(duration_seconds) AS max_duration
+    FROM ({rows}) WHERE w + INTERVAL 1 HOUR <= (SELECT MAX(timestamp) - INTERVAL 1 HOUR FROM performance) GROUP BY w, operation"""
+
+
+@query("stream_summary", WINDOWS.format(rows="SELECT *, date_trunc('hour', timestamp) AS w FROM performance"), ("performance",))
+def stream_summary_query(spark, sf):
+    stream = stream_events(spark, sf, "event_type AS operation", "value AS duration_seconds", "ts AS timestamp")
+    return windows(drained(stream_summary(stream), spark, "stream-summary"))
+
+
+@query("stream_summary_sliding", WINDOWS.format(rows="""SELECT *, time_bucket(INTERVAL 15 MINUTES, timestamp) - INTERVAL 15 MINUTES * o AS w
+       FROM performance, (SELECT UNNEST([0, 1, 2, 3]) AS o)"""), ("performance",))
+def stream_sliding_query(spark, sf):
+    stream = stream_events(spark, sf, "event_type AS operation", "value AS duration_seconds", "ts AS timestamp")
+    return windows(drained(stream_summary(stream, slide="15 minutes"), spark, "stream-sliding"))
+
+
+def windows(summary: DataFrame) -> DataFrame:
+    return summary.select(F.unix_micros("window_start").alias("window_us"), "operation", "count",
+                          F.round("avg_duration", 4).alias("avg_duration"), "max_duration")
+
+
+@query("stream_distinct_prompts", "SELECT DISTINCT sha256(CONCAT('k', user_id, '_', event_type)) AS cache_key FROM events")
+def stream_distinct_query(spark, sf):
+    stream = stream_events(spark, sf, "sha2(CONCAT('k', user_id, '_', event_type), 256) AS cache_key", "ts AS timestamp")
+    return drained(stream_distinct_prompts(stream), spark, "stream-distinct").select("cache_key")
+
+
+@query("stream_gate", """SELECT 'good' AS sink, event_id FROM events_m""", ("events_m",))
+def stream_gate_query(spark, sf):
+    path = scratch_path(spark, "stream-gate")
+    stream = stream_events(spark, sf, "event_id", "CASE WHEN event_id % 10 <> 7 THEN value END AS value")
+    gate = stream_gate(stream, f"{path}/good", f"{path}/quarantine", f"{path}/verdicts", f"{path}/state", InputLimits(max_rows=None))
+    gate.start().awaitTermination()
+    return spark.read.parquet(f"{path}/good").select(F.lit("good").alias("sink"), "event_id")
+
+
+@query("stream_gate_quarantine", """SELECT 'quarantine' AS sink, event_id, 'missing_percentage' AS failed FROM events_m""", ("events_m",))
+def stream_quarantine_query(spark, sf):
+    path = scratch_path(spark, "stream-quarantine")
+    stream = stream_events(spark, sf, "event_id", "CASE WHEN event_id % 10 <> 7 THEN value END AS value")
+    limits = InputLimits(max_rows=None, max_missing_percentage=2.0)
+    stream_gate(stream, f"{path}/good", f"{path}/quarantine", f"{path}/verdicts", f"{path}/state", limits).start().awaitTermination()
+    failed = spark.read.parquet(f"{path}/verdicts").where("severity = 'error' and not passed").select("batch_id", F.col("rule").alias("failed"))
+    rows = spark.read.parquet(f"{path}/quarantine")
+    return rows.join(F.broadcast(failed), "batch_id").select(F.lit("quarantine").alias("sink"), "event_id", "failed")
