@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lacuna.functions.columns import (
-    as_text, data_type, is_missing, is_numeric, is_present, ref, scalar_columns,
+    as_text, data_type, is_numeric, is_present, literal, missing_sql, present_sql, ref, scalar_columns, text_sql,
 )
 from lacuna.functions.durable import local_table
 from lacuna.params import NO_CONTEXT
@@ -18,16 +18,14 @@ from lacuna.params import NO_CONTEXT
 def missing_cells(df: DataFrame, id_col: str, column: str | None = None) -> DataFrame:
     """``row_id, column`` of every missing cell, or of one column's."""
     columns = [column] if column else scalar_columns(df, exclude=[id_col])
-    gaps = F.array_compact(F.array(*[F.when(is_missing(df, c), F.lit(c)) for c in columns]))
+    cases = [f"CASE WHEN {missing_sql(df, c)} THEN {literal(c)} END" for c in columns]
+    gaps = F.expr(f"array_compact(array({', '.join(cases)}))")
     return df.select(ref(id_col).alias("row_id"), F.explode(gaps).alias("column"))
 
 
 def complete_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Rows with no missing value."""
-    condition = F.lit(True)
-    for name in columns or scalar_columns(df):
-        condition = condition & is_present(df, name)
-    return df.where(condition)
+    return df.where(" AND ".join(["true", *[present_sql(df, c) for c in columns or scalar_columns(df)]]))
 
 
 def non_missing(df: DataFrame, column: str) -> DataFrame:
@@ -86,8 +84,8 @@ def row_context(df: DataFrame, exclude: str, columns: Sequence[str] | None = Non
     names = [c for c in (columns or scalar_columns(df)) if c != exclude]
     if not names:
         return F.lit(NO_CONTEXT)
-    parts = [F.concat(F.lit(f"{c}: "), as_text(df, c)) for c in names]
-    joined = F.concat_ws(", ", *parts)
+    parts = [f"concat({literal(c + ': ')}, {text_sql(df, c)})" for c in names]
+    joined = F.expr(f"concat_ws(', ', {', '.join(parts)})")
     return F.when(joined == "", F.lit(NO_CONTEXT)).otherwise(joined)
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lacuna.functions.columns import (
-    data_type, is_missing, is_present, null_safe_match, number_as_text, numeric_columns, present_value, ref,
+    data_type, is_missing, is_present, null_safe_match, number_as_text, numeric_columns, present_sql, present_value, ref,
     round_half_even, scalar_columns,
 )
 from lacuna.functions.durable import local_table
@@ -129,13 +129,10 @@ def choose_numeric(df: DataFrame, id_col: str, target: str, features: Sequence[s
     candidates = [c for c in (features if features is not None else numeric_columns(df, [id_col])) if c != target]
     if not candidates:
         return NumericChoice("median", REASON_FEW_ROWS)
-    complete = F.lit(True)
-    for name in scalar_columns(df, [id_col]):
-        complete = complete & is_present(df, name)
-    row = df.agg(
-        F.count_if(complete).alias("complete"),
-        *[F.count_if(is_present(df, target) & is_present(df, f)).alias(f"j{i}") for i, f in enumerate(candidates)],
-    ).first()
+    complete = " AND ".join(present_sql(df, c) for c in scalar_columns(df, [id_col]))
+    row = df.agg(F.expr(f"count_if({complete}) AS complete"), *[
+        F.expr(f"count_if({present_sql(df, target)} AND {present_sql(df, f)}) AS j{i}") for i, f in enumerate(candidates)
+    ]).first()
     usable = [f for i, f in enumerate(candidates) if row[f"j{i}"] >= 2]
     if row["complete"] < 3:
         return NumericChoice("median", REASON_FEW_ROWS)

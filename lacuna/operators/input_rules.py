@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lacuna.functions.columns import (
-    data_type, present_value, ref, scalar_columns,
+    data_type, inline_rows, literal, quoted, scalar_columns, value_sql,
 )
 from lacuna.functions.durable import local_table
-from lacuna.operators.profile import _value_key, missing_summary
+from lacuna.operators.profile import missing_summary, text_key_sql
 from lacuna.params import BAD_NAME_CHARACTERS, NUMERIC_TEXT, InputLimits
 
 RULE_SCHEMA = T.StructType([
@@ -47,24 +47,23 @@ def _measures(df: DataFrame, columns: Sequence[str], rules: Sequence[Rule]) -> D
     texts = set(_text_columns(df, columns))
     aggregates = [F.count(F.lit(1)).alias("n")]
     for j, c in enumerate(columns):
-        value = present_value(df, c)
-        aggregates += [
-            F.count(value).alias(f"p{j}"), (F.min(value) == F.max(value)).alias(f"one{j}"),
-        ]
+        value = value_sql(df, c)
+        aggregates.append(F.expr(f"count({value}) AS p{j}"))
+        aggregates.append(F.expr(f"min({value}) = max({value}) AS one{j}"))
         if c in texts:
-            looks = F.regexp_like(ref(c), F.lit(NUMERIC_TEXT))
-            aggregates.append(F.count_if(looks).alias(f"num{j}"))
+            aggregates.append(F.expr(f"count_if(regexp_like({quoted(c)}, {literal(NUMERIC_TEXT)})) AS num{j}"))
     aggregates += [F.count_if(~F.coalesce(r.condition, F.lit(False))).alias(f"rule{i}") for i, r in enumerate(rules)]
     return df.agg(*aggregates)
 
 
-def _row(order: int, rule: str, column: str | None, severity: str, passed: Column, measured: Column,
-         threshold: float | None) -> Column:
-    return F.struct(
-        F.lit(order).alias("position"), F.lit(rule).alias("rule"), F.lit(column).cast("string").alias("column"),
-        F.lit(severity).alias("severity"), F.coalesce(passed, F.lit(True)).alias("passed"),
-        measured.cast("double").alias("measured"), F.lit(threshold).cast("double").alias("threshold"),
-    )
+def _row(order: int, rule: str, column: str | None, severity: str, passed: str, measured: str,
+         threshold: float | None) -> dict[str, str]:
+    return {
+        "position": str(order), "rule": literal(rule),
+        "column": "CAST(NULL AS STRING)" if column is None else literal(column), "severity": literal(severity),
+        "passed": f"coalesce({passed}, true)", "measured": f"CAST({measured} AS DOUBLE)",
+        "threshold": "CAST(NULL AS DOUBLE)" if threshold is None else f"{float(threshold)!r}D",
+    }
 
 
 def gate_rules(df: DataFrame, limits: InputLimits = InputLimits(), rules: Sequence[Rule] = (),
@@ -72,30 +71,29 @@ def gate_rules(df: DataFrame, limits: InputLimits = InputLimits(), rules: Sequen
     """Blocking gates in their order, then constant columns and numeric-looking texts; one aggregate pass."""
     columns = list(columns) if columns is not None else scalar_columns(df)
     texts = set(_text_columns(df, columns))
-    n, width = F.col("n"), len(columns)
-    rows = [_row(0, "empty", None, "error", (n > 0) & F.lit(width > 0), n, 0.0)]
+    width = len(columns)
+    rows = [_row(0, "empty", None, "error", f"n > 0 AND {width} > 0", "n", 0.0)]
     if limits.max_rows is not None:
-        rows.append(_row(1, "max_rows", None, "error", n <= limits.max_rows, n, limits.max_rows))
-    rows.append(_row(2, "max_columns", None, "error", F.lit(width <= limits.max_columns), F.lit(width), limits.max_columns))
+        rows.append(_row(1, "max_rows", None, "error", f"n <= {limits.max_rows}", "n", limits.max_rows))
+    rows.append(_row(2, "max_columns", None, "error", f"{width} <= {limits.max_columns}", str(width), limits.max_columns))
     for j, c in enumerate(columns):
-        rows.append(_row(3, "empty_column", c, "error", (n == 0) | (F.col(f"p{j}") > 0), F.col(f"p{j}"), 0.0))
-    present = sum((F.col(f"p{j}") for j in range(width)), F.lit(0))
-    gaps = F.try_divide((n * width - present) * 100.0, n * width)
-    rows.append(_row(4, "missing_percentage", None, "error", gaps <= limits.max_missing_percentage, gaps,
+        rows.append(_row(3, "empty_column", c, "error", f"n = 0 OR p{j} > 0", f"p{j}", 0.0))
+    rows.append(_row(4, "missing_percentage", None, "error", f"gaps <= {float(limits.max_missing_percentage)!r}D", "gaps",
                      limits.max_missing_percentage))
     for j, c in enumerate(columns):
-        few = (F.col(f"p{j}") > 0) & (F.col(f"p{j}") < limits.min_non_null_values)
-        rows.append(_row(5, "min_values", c, "error", ~few, F.col(f"p{j}"), limits.min_non_null_values))
+        rows.append(_row(5, "min_values", c, "error", f"NOT (p{j} > 0 AND p{j} < {limits.min_non_null_values})", f"p{j}",
+                         limits.min_non_null_values))
     for i, r in enumerate(rules):
-        rows.append(_row(6, r.name, None, r.severity, F.col(f"rule{i}") <= r.limit, F.col(f"rule{i}"), r.limit))
+        rows.append(_row(6, r.name, None, r.severity, f"rule{i} <= {r.limit}", f"rule{i}", r.limit))
     for j, c in enumerate(columns):
-        constant = (F.col(f"p{j}") > 1) & F.col(f"one{j}")
-        rows.append(_row(8, "constant", c, "warning", ~constant, F.col(f"p{j}"), 1.0))
+        rows.append(_row(8, "constant", c, "warning", f"NOT (p{j} > 1 AND one{j})", f"p{j}", 1.0))
         if c in texts:
-            share = F.try_divide(F.col(f"num{j}").cast("double"), F.col(f"p{j}").cast("double"))
-            rows.append(_row(9, "numeric_text", c, "warning", ~(share > limits.numeric_text_share), share,
+            share = f"try_divide(CAST(num{j} AS DOUBLE), CAST(p{j} AS DOUBLE))"
+            rows.append(_row(9, "numeric_text", c, "warning", f"NOT ({share} > {float(limits.numeric_text_share)!r}D)", share,
                              limits.numeric_text_share))
-    return _measures(df, columns, rules).select(F.inline(F.array(*rows)))
+    present = " + ".join(["0", *[f"p{j}" for j in range(width)]])
+    gaps = F.expr(f"try_divide((n * {width} - ({present})) * 100.0D, CAST(n * {width} AS DOUBLE)) AS gaps")
+    return _measures(df, columns, rules).select("*", gaps).select(inline_rows(rows))
 
 
 def rule_high_cardinality(df: DataFrame, limits: InputLimits = InputLimits(),
@@ -104,8 +102,8 @@ def rule_high_cardinality(df: DataFrame, limits: InputLimits = InputLimits(),
     texts = _text_columns(df, columns if columns is not None else scalar_columns(df))
     if not texts:
         return local_table(df.sparkSession, [], RULE_SCHEMA)
-    cells = F.array(*[F.struct(F.lit(c).alias("column"), _value_key(df, c).alias("v")) for c in texts])
-    values = df.select(F.inline(cells)).where("v is not null").groupBy("column", "v").agg(F.count(F.lit(1)).alias("c"))
+    cells = inline_rows([{"column": literal(c), "v": text_key_sql(df, c)} for c in texts])
+    values = df.select(cells).where("v is not null").groupBy("column", "v").agg(F.count(F.lit(1)).alias("c"))
     ratio = F.col("u") / F.col("p")
     per_column = values.groupBy("column").agg(F.count(F.lit(1)).alias("u"), F.sum("c").alias("p"))
     return per_column.select(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lacuna.functions.columns import as_text, is_numeric, is_present, ref, scalar_columns
+from lacuna.functions.columns import inline_rows, is_numeric, literal, quoted, ref, scalar_columns, text_sql, value_sql
 from lacuna.functions.durable import local_table
 from lacuna.operators.impute import LEDGER_FIELDS
 from lacuna.params import QUALITY_STATES
@@ -18,12 +18,12 @@ class OutputError(ValueError):
     """A blocking output check failed."""
 
 
-def _same(before: DataFrame, after: DataFrame, name: str, a: Column, b: Column) -> Column:
+def _same_sql(before: DataFrame, after: DataFrame, name: str, a: str, b: str) -> str:
     """Numbers agree within ``1e-8 + 1e-10 * |filled|``; everything else agrees as text."""
     if is_numeric(before, name) and is_numeric(after, name):
-        x, y = a.cast("double"), b.cast("double")
-        return (x == y) | (F.abs(x - y) <= F.lit(1e-8) + F.lit(1e-10) * F.abs(y))
-    return a.cast("string") == b.cast("string")
+        x, y = f"CAST({a} AS DOUBLE)", f"CAST({b} AS DOUBLE)"
+        return f"({x} = {y} OR abs({x} - {y}) <= 1e-8D + 1e-10D * abs({y}))"
+    return f"(CAST({a} AS STRING) = CAST({b} AS STRING))"
 
 
 def _shared(before: DataFrame, after: DataFrame, id_col: str) -> list[str]:
@@ -36,28 +36,25 @@ def compare_tables(before: DataFrame, after: DataFrame, id_col: str) -> DataFram
     ``only_before`` and ``only_after`` count ids without partner and repeat on every row.
     """
     columns = _shared(before, after, id_col)
-    old = before.select(ref(id_col).alias("ib"), F.lit(1).alias("hb"), *[
-        F.when(is_present(before, c), ref(c)).alias(f"b{j}") for j, c in enumerate(columns)])
-    new = after.select(ref(id_col).alias("ia"), F.lit(1).alias("ha"), *[
-        F.when(is_present(after, c), ref(c)).alias(f"a{j}") for j, c in enumerate(columns)])
+    old = before.selectExpr(f"{quoted(id_col)} AS ib", "1 AS hb", *[
+        f"{value_sql(before, c)} AS b{j}" for j, c in enumerate(columns)])
+    new = after.selectExpr(f"{quoted(id_col)} AS ia", "1 AS ha", *[
+        f"{value_sql(after, c)} AS a{j}" for j, c in enumerate(columns)])
     joined = old.join(new, F.col("ib") == F.col("ia"), "full_outer")
-    has_old, has_new = F.col("hb").isNotNull(), F.col("ha").isNotNull()
-    measures = [F.count_if(has_old & ~has_new).alias("only_before"), F.count_if(has_new & ~has_old).alias("only_after")]
+    measures = ["count_if(hb IS NOT NULL AND ha IS NULL) AS only_before", "count_if(ha IS NOT NULL AND hb IS NULL) AS only_after"]
     rows = []
     for j, c in enumerate(columns):
-        a, b = F.col(f"b{j}"), F.col(f"a{j}")
-        same = F.coalesce(_same(before, after, c, a, b), F.lit(False))
+        same = f"coalesce({_same_sql(before, after, c, f'b{j}', f'a{j}')}, false)"
         measures += [
-            F.count_if(has_old & a.isNull()).alias(f"mb{j}"), F.count_if(has_new & b.isNull()).alias(f"ma{j}"),
-            F.count_if(has_new & a.isNotNull() & ~same).alias(f"mod{j}"),
-            F.count_if(has_old & a.isNull() & b.isNotNull()).alias(f"fill{j}"),
+            f"count_if(hb IS NOT NULL AND b{j} IS NULL) AS mb{j}", f"count_if(ha IS NOT NULL AND a{j} IS NULL) AS ma{j}",
+            f"count_if(ha IS NOT NULL AND b{j} IS NOT NULL AND NOT {same}) AS mod{j}",
+            f"count_if(hb IS NOT NULL AND b{j} IS NULL AND a{j} IS NOT NULL) AS fill{j}",
         ]
-        rows.append(F.struct(
-            F.lit(before.columns.index(c)).alias("position"), F.lit(c).alias("column"),
-            F.col(f"mb{j}").alias("missing_before"), F.col(f"ma{j}").alias("missing_after"),
-            F.col(f"mod{j}").alias("modified"), F.col(f"fill{j}").alias("filled"),
-        ))
-    return joined.agg(*measures).select(F.inline(F.array(*rows)), "only_before", "only_after")
+        rows.append({
+            "position": str(before.columns.index(c)), "column": literal(c), "missing_before": f"mb{j}",
+            "missing_after": f"ma{j}", "modified": f"mod{j}", "filled": f"fill{j}",
+        })
+    return joined.agg(*[F.expr(m) for m in measures]).select(inline_rows(rows), "only_before", "only_after")
 
 
 def check_shape(before: DataFrame, after: DataFrame) -> DataFrame:
@@ -111,16 +108,17 @@ def check_confidence(ledger: DataFrame) -> DataFrame:
     return ledger.where(~F.coalesce(good, F.lit(False))).select("row_id", "column", "confidence")
 
 
-def _cell(table: DataFrame, id_col: str, chooser: Column) -> Column:
+def _cell(table: DataFrame, id_col: str, chooser: str = "__column") -> Column:
     """Text of the cell that ``chooser`` names, without unpivoting the table."""
-    return F.coalesce(*[F.when(chooser == c, as_text(table, c)) for c in scalar_columns(table, [id_col])])
+    cases = [f"WHEN {chooser} = {literal(c)} THEN {text_sql(table, c)}" for c in scalar_columns(table, [id_col])]
+    return F.expr(f"CASE {' '.join(cases)} END")
 
 
 def check_was_missing(ledger: DataFrame, before: DataFrame, id_col: str) -> DataFrame:
     """Ledger cells that had a value before."""
     keyed = ledger.select(F.col("row_id").alias("__row"), F.col("column").alias("__column"))
     joined = keyed.join(before, F.col("__row") == ref(id_col))
-    return joined.where(_cell(before, id_col, F.col("__column")).isNotNull()).select(
+    return joined.where(_cell(before, id_col).isNotNull()).select(
         F.col("__row").alias("row_id"), F.col("__column").alias("column"))
 
 
@@ -151,7 +149,7 @@ def cell_consistency(after: DataFrame, ledger: DataFrame, id_col: str) -> DataFr
     keyed = ledger.select(
         F.col("row_id").alias("__row"), F.col("column").alias("__column"), F.col("suggested_value").alias("__expected"))
     joined = keyed.join(after, F.col("__row") == ref(id_col))
-    actual = _cell(after, id_col, F.col("__column"))
+    actual = _cell(after, id_col)
     outcome = (
         F.when(F.col("expected").isNull() & F.col("actual").isNull(), "both_missing")
         .when(F.col("expected").isNull() | F.col("actual").isNull(), "missing_mismatch")
@@ -193,47 +191,45 @@ def validate_output(before: DataFrame, after: DataFrame, ledger: DataFrame, id_c
     same_names = before.columns == after.columns
     compared = compare_tables(before, after, id_col)
 
-    def row(rule: str, severity: str, column: Column, count: Column) -> Column:
-        return F.struct(F.lit(rule).alias("rule"), F.lit(severity).alias("severity"), column.cast("string").alias("column"),
-                        count.cast("bigint").alias("violations"))
-
-    per_column = compared.select(F.inline(F.array(
-        row("new_missing", "error", F.col("column"), F.greatest(F.col("missing_after") - F.col("missing_before"), F.lit(0))),
-        row("modified", "error", F.col("column"), F.col("modified")),
-    )))
-    whole = compared.agg(F.max("only_before").alias("b"), F.max("only_after").alias("a")).select(F.inline(F.array(
-        row("shape", "error", F.lit(None), F.coalesce(F.col("a") + F.col("b"), F.lit(0)) + F.lit(abs(len(before.columns) - len(after.columns)))),
-        row("columns", "error", F.lit(None), F.lit(0 if same_names else 1)),
-    )))
+    def row(rule: str, severity: str, column: str | None, count: str) -> dict[str, str]:
+        return {"rule": literal(rule), "severity": literal(severity), "column": column or "CAST(NULL AS STRING)",
+                "violations": f"CAST({count} AS BIGINT)"}
+
+    width = abs(len(before.columns) - len(after.columns))
+    per_column = compared.select("column", inline_rows([
+        row("new_missing", "error", "`column`", "greatest(missing_after - missing_before, 0)"),
+        row("modified", "error", "`column`", "modified")]).alias("rule", "severity", "name", "violations")).drop("column")
+    per_column = per_column.withColumnRenamed("name", "column")
+    whole = compared.agg(F.max("only_before").alias("b"), F.max("only_after").alias("a")).select(inline_rows([
+        row("shape", "error", None, f"coalesce(a + b, 0) + {width}"), row("columns", "error", None, str(int(not same_names)))]))
     absent = [f for f in LEDGER_FIELDS if f != "suggested_num" and f not in ledger.columns]
     parts = [per_column, whole]
     if absent:
         parts.append(local_table(spark, [("ledger_schema", "error", f, 1) for f in absent], REPORT_SCHEMA))
     else:
-        known = F.coalesce(F.col("__column").isin(before.columns), F.lit(False))
         keyed = ledger.select(
             F.col("row_id").alias("__row"), F.col("column").alias("__column"), F.col("confidence").alias("__confidence"))
-        sure = F.coalesce(F.col("__confidence").between(0.0, 1.0) & ~F.isnan("__confidence"), F.lit(False))
         found = keyed.join(before.withColumn("__found", F.lit(True)), F.col("__row") == ref(id_col), "left")
         counts = found.agg(
-            F.count_if(F.col("__found").isNull()).alias("orphans"), F.count_if(~known).alias("unknown"),
-            F.count_if(~sure).alias("unsure"),
-            F.count_if(_cell(before, id_col, F.col("__column")).isNotNull()).alias("present"),
+            F.expr("count_if(__found IS NULL) AS orphans"),
+            F.count_if(~F.coalesce(F.col("__column").isin(before.columns), F.lit(False))).alias("unknown"),
+            F.expr("count_if(NOT coalesce(__confidence BETWEEN 0 AND 1 AND NOT isnan(__confidence), false)) AS unsure"),
+            F.count_if(_cell(before, id_col).isNotNull()).alias("present"),
         )
-        parts.append(counts.select(F.inline(F.array(
-            row("ledger_row", "error", F.lit(None), F.col("orphans")), row("ledger_column", "error", F.lit(None), F.col("unknown")),
-            row("confidence", "error", F.lit(None), F.col("unsure")), row("was_missing", "error", F.lit(None), F.col("present")),
-        ))))
+        parts.append(counts.select(inline_rows([
+            row("ledger_row", "error", None, "orphans"), row("ledger_column", "error", None, "unknown"),
+            row("confidence", "error", None, "unsure"), row("was_missing", "error", None, "present")])))
         parts.append(check_duplicates(ledger).agg(F.count(F.lit(1)).alias("d")).select(
-            F.inline(F.array(row("duplicate", "error", F.lit(None), F.col("d"))))))
+            inline_rows([row("duplicate", "error", None, "d")])))
         if same_names:
             parts.append(consistency_summary(after, ledger, id_col).select(
-                F.inline(F.array(row("consistency", "warning", F.lit(None), F.col("issues"))))))
-        parts.append(_fills(compared, ledger).select(F.inline(F.array(
-            row("fill_count", "warning", F.col("column"), F.abs(F.col("filled") - F.col("expected")))))))
+                inline_rows([row("consistency", "warning", None, "issues")])))
+        parts.append(_fills(compared, ledger).select(
+            F.lit("fill_count").alias("rule"), F.lit("warning").alias("severity"), "column",
+            F.abs(F.col("filled") - F.col("expected")).alias("violations")))
     if assessment is not None:
-        parts.append(check_quality(assessment).select(F.inline(F.array(
-            row("quality", "error", F.col("field"), F.when(F.col("passed"), 0).otherwise(1))))))
+        parts.append(check_quality(assessment).select(
+            inline_rows([row("quality", "error", "field", "CASE WHEN passed THEN 0 ELSE 1 END")])))
     report = parts[0]
     for part in parts[1:]:
         report = report.unionByName(part)

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lacuna.functions.columns import (
-    as_text, is_missing, is_numeric, is_present, percentage, present_value, ref, round_half_even,
-    scalar_columns,
+    as_text, inline_rows, is_numeric, literal, missing_sql, percentage, present_sql, quoted, ref, round_half_even,
+    scalar_columns, text_sql, value_sql,
 )
 from lacuna.functions.durable import local_table
 from lacuna.operators.cells import head_values
@@ -46,15 +46,11 @@ def column_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
     """``position, column, n, missing_count`` for every column from one pass over the table."""
     columns = list(columns) if columns is not None else scalar_columns(df)
     position = {c: i for i, c in enumerate(df.columns)}
-    wide = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.count_if(is_missing(df, c)).alias(f"m{j}") for j, c in enumerate(columns)],
-    )
-    rows = F.array(*[
-        F.struct(F.lit(position[c]).alias("position"), F.lit(c).alias("column"), F.col(f"m{j}").alias("missing_count"))
-        for j, c in enumerate(columns)
-    ])
-    return wide.select("n", F.inline(rows)).select("position", "column", "n", "missing_count")
+    wide = df.agg(F.count(F.lit(1)).alias("n"), *[
+        F.expr(f"count_if({missing_sql(df, c)}) AS m{j}") for j, c in enumerate(columns)])
+    return wide.select("n", inline_rows([
+        {"position": str(position[c]), "column": literal(c), "missing_count": f"m{j}"} for j, c in enumerate(columns)
+    ])).select("position", "column", "n", "missing_count")
 
 
 def priority(pct: Column) -> Column:
@@ -63,7 +59,16 @@ def priority(pct: Column) -> Column:
 
 def missing_summary(df: DataFrame, digits: int = 1, columns: Sequence[str] | None = None) -> DataFrame:
     """Missing count, percentage and fill priority of every column that has a gap."""
-    counts = column_counts(df, columns).where(F.col("missing_count") > 0)
+    return _summary(column_counts(df, columns), digits)
+
+
+def missing_from_counts(profile: DataFrame, rows: int, digits: int = 1) -> DataFrame:
+    """The same from a profile's counts, without reading the table again."""
+    return _summary(profile.withColumn("n", F.lit(rows)).withColumn("missing_count", F.col("n") - F.col("present")), digits)
+
+
+def _summary(counts: DataFrame, digits: int) -> DataFrame:
+    counts = counts.where(F.col("missing_count") > 0)
     raw = F.col("missing_count") / F.col("n") * 100.0
     return counts.select(
         "position", "column", "missing_count",
@@ -72,27 +77,38 @@ def missing_summary(df: DataFrame, digits: int = 1, columns: Sequence[str] | Non
     )
 
 
-def _value_key(df: DataFrame, name: str) -> Column:
-    """Grouping key of a value: its text, or a digest so that long texts are not shuffled."""
-    if is_numeric(df, name):
-        value = present_value(df, name)
-        if not df.schema[name].dataType.typeName() == "decimal":
-            value = value + F.lit(0).cast(df.schema[name].dataType)  # -0.0 and 0.0 are one value
-        return value.cast("string")
-    text = as_text(df, name)
-    return F.when(F.length(text) > LONG_TEXT, F.concat(F.lit("#"), F.sha2(text, 256))).otherwise(text)
+def text_key_sql(df: DataFrame, name: str) -> str:
+    """Grouping key of a text: itself, or a digest so that long texts are not shuffled."""
+    text = text_sql(df, name)
+    return f"CASE WHEN length({text}) > {LONG_TEXT} THEN concat('#', sha2({text}, 256)) ELSE {text} END"
+
+
+def _value_key(df: DataFrame, name: str) -> dict[str, str]:
+    """Grouping key of any value as ``whole, real, value_key``; numbers are never turned into text."""
+    kind = df.schema[name].dataType
+    key = {"whole": "CAST(NULL AS BIGINT)", "real": "CAST(NULL AS DOUBLE)", "value_key": "CAST(NULL AS STRING)"}
+    if isinstance(kind, T.IntegralType):
+        key["whole"] = f"CAST({quoted(name)} AS BIGINT)"
+    elif isinstance(kind, (T.FloatType, T.DoubleType)):
+        key["real"] = f"CAST({value_sql(df, name)} AS DOUBLE)"
+    elif is_numeric(df, name):
+        key["value_key"] = f"CAST({quoted(name)} AS STRING)"
+    else:
+        key["value_key"] = text_key_sql(df, name)
+    return key
 
 
 def column_values(df: DataFrame, id_col: str, columns: Sequence[str]) -> DataFrame:
-    """Distinct values of all ``columns``: ``position, value_key, n, first_id``; one shuffle."""
+    """Distinct values of all ``columns``: ``position, whole, real, value_key, n, first_id``; one shuffle.
+
+    ``first_id`` is kept for texts only: the categories of a column are listed by it.
+    """
     position = {c: i for i, c in enumerate(df.columns)}
-    cells = F.array(*[
-        F.struct(F.lit(position[c]).alias("position"), _value_key(df, c).alias("value_key")) for c in columns
-    ])
-    long = df.select(ref(id_col).alias("id"), F.inline(cells)).where(F.col("value_key").isNotNull())
-    return long.groupBy("position", "value_key").agg(
-        F.count(F.lit(1)).alias("n"), F.min("id").alias("first_id")
-    )
+    names = ("whole", "real", "value_key")
+    cells = inline_rows([{"position": str(position[c]), **_value_key(df, c)} for c in columns])
+    long = df.select(ref(id_col).alias("id"), cells).where("whole IS NOT NULL OR real IS NOT NULL OR value_key IS NOT NULL")
+    return long.groupBy("position", *names).agg(
+        F.count(F.lit(1)).alias("n"), F.expr("min(CASE WHEN value_key IS NOT NULL THEN id END) AS first_id"))
 
 
 def distinct_counts(df: DataFrame, id_col: str, columns: Sequence[str] | None = None,
@@ -102,13 +118,12 @@ def distinct_counts(df: DataFrame, id_col: str, columns: Sequence[str] | None =
     position = {c: i for i, c in enumerate(df.columns)}
     names = F.create_map(*[x for c in columns for x in (F.lit(position[c]), F.lit(c))])
     if approx:
-        wide = df.agg(*[F.count(present_value(df, c)).alias(f"n{j}") for j, c in enumerate(columns)],
-                      *[F.approx_count_distinct(present_value(df, c), 0.02).alias(f"u{j}") for j, c in enumerate(columns)])
-        return wide.select(F.inline(F.array(*[
-            F.struct(F.lit(position[c]).alias("position"), F.lit(c).alias("column"),
-                     F.col(f"n{j}").alias("present"), F.col(f"u{j}").alias("unique_values"))
+        wide = df.agg(*[F.expr(f"count({value_sql(df, c)}) AS n{j}") for j, c in enumerate(columns)], *[
+            F.expr(f"approx_count_distinct({value_sql(df, c)}, 0.02D) AS u{j}") for j, c in enumerate(columns)])
+        return wide.select(inline_rows([
+            {"position": str(position[c]), "column": literal(c), "present": f"n{j}", "unique_values": f"u{j}"}
             for j, c in enumerate(columns)
-        ])))
+        ]))
     values = column_values(df, id_col, columns)
     return values.groupBy("position").agg(
         F.sum("n").alias("present"), F.count(F.lit(1)).alias("unique_values")
@@ -261,7 +276,6 @@ def complexity(plan: DataFrame) -> DataFrame:
 def feature_overlap(df: DataFrame, target: str, features: Sequence[str]) -> DataFrame:
     """``feature, joint_rows, usable``: rows where target and feature are both present; usable from two."""
     wide = df.agg(*[
-        F.count_if(is_present(df, target) & is_present(df, f)).alias(f"j{i}") for i, f in enumerate(features)
-    ])
-    rows = [F.struct(F.lit(f).alias("feature"), F.col(f"j{i}").alias("joint_rows")) for i, f in enumerate(features)]
-    return wide.select(F.inline(F.array(*rows))).withColumn("usable", F.col("joint_rows") >= 2)
+        F.expr(f"count_if({present_sql(df, target)} AND {present_sql(df, f)}) AS j{i}") for i, f in enumerate(features)])
+    return wide.select(inline_rows([
+        {"feature": literal(f), "joint_rows": f"j{i}", "usable": f"j{i} >= 2"} for i, f in enumerate(features)]))

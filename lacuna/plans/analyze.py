@@ -8,9 +8,8 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 
-from lacuna.functions.durable import small_table
 from lacuna.operators.profile import (
-    complexity, dataset_profile, estimate_time, missing_summary, plan_fills, profile_columns,
+    complexity, dataset_profile, estimate_time, missing_from_counts, plan_fills, profile_columns,
 )
 
 
@@ -27,8 +26,7 @@ def analyze(df: DataFrame, id_col: str, run_ts: datetime, threshold: int = 20, a
             columns: Sequence[str] | None = None) -> Analysis:
     """Everything known about ``df`` before filling; at most one row per column in each table."""
     profile = profile_columns(df, id_col, columns, approx)
-    names = [r["column"] for r in profile.select("column").collect()]
-    missing = small_table(missing_summary(df, columns=names))
+    missing = missing_from_counts(profile, df.count())  # the profile has counted the present values already
     plan = plan_fills(profile, missing, threshold)
     times = plan.select("column", "estimated_time_minutes")
     return Analysis(
