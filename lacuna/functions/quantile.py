@@ -7,10 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lacuna.functions.columns import data_type, is_present, null_safe_match, ref
-from lacuna.functions.durable import local_table
-
-BROADCAST_GROUPS = 10_000
+from lacuna.functions.columns import data_type, is_present, ref
+from lacuna.functions.joins import attach_unique
 
 
 def exact_median(df: DataFrame, value: str, keys: Sequence[str] = (), accuracy: int = 10_000) -> DataFrame:
@@ -31,16 +29,11 @@ def exact_median(df: DataFrame, value: str, keys: Sequence[str] = (), accuracy:
     brackets = brackets.select(
         *keys, "__n", F.col("__b")[0].alias("__lo"), F.col("__b")[1].alias("__hi")
     )
-    rows = brackets.limit(BROADCAST_GROUPS + 1).collect()
     if not keys:
-        low, high, n = rows[0]["__lo"], rows[0]["__hi"], rows[0]["__n"]
+        low, high, n = brackets.select("__lo", "__hi", "__n").first()
         inside = base.where(F.col("__v") <= F.lit(high)).withColumn("__n", F.lit(n)).withColumn("__lo", F.lit(low))
     else:
-        if len(rows) <= BROADCAST_GROUPS:
-            brackets = F.broadcast(local_table(df.sparkSession, rows, brackets.schema))
-        left, right = base.alias("l"), brackets.alias("r")
-        inside = left.join(right, null_safe_match(left, right, keys)).where(F.col("__v") <= F.col("__hi"))
-        inside = inside.select(*[left[k] for k in keys], "__v", "__n", "__lo")
+        inside = attach_unique(base, brackets, keys, weight="__n").where(F.col("__v") <= F.col("__hi"))
     # Everything under the bracket collapses into one NULL bucket before the shuffle.
     counts = inside.groupBy(*keys, F.when(F.col("__v") >= F.col("__lo"), F.col("__v")).alias("__v")).agg(
         F.count(F.lit(1)).alias("__c"), F.first("__n").alias("__n")

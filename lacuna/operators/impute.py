@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lacuna.functions.columns import (
-    data_type, is_missing, is_present, null_safe_match, number_as_text, numeric_columns, present_sql, present_value, ref,
+    data_type, is_missing, is_present, number_as_text, numeric_columns, present_sql, present_value, ref,
     round_half_even, scalar_columns,
 )
-from lacuna.functions.durable import local_table
-from lacuna.functions.quantile import BROADCAST_GROUPS, exact_median
+from lacuna.functions.durable import durable
+from lacuna.functions.joins import attach_unique
+from lacuna.functions.quantile import exact_median
 from lacuna.operators.cells import patch
 from lacuna.params import REASON_FEW_COLUMNS, REASON_FEW_ROWS
 
@@ -63,18 +64,19 @@ def fill_digits(value: Column, kind: T.DataType) -> Column:
 
 
 def median_statistic(df: DataFrame, target: str, by: Sequence[str] = (), approx: bool = False) -> DataFrame:
-    """Median per key, unrounded."""
+    """``median`` (unrounded) and ``n`` per key."""
     if not approx:
-        return exact_median(df, target, by).drop("n")
+        return exact_median(df, target, by)
     kept = df.where(is_present(df, target))
     return kept.groupBy(*[ref(b).alias(b) for b in by]).agg(
-        F.percentile_approx(ref(target), 0.5).cast("double").alias("median")
+        F.percentile_approx(ref(target), 0.5).cast("double").alias("median"), F.count(F.lit(1)).alias("n")
     )
 
 
 def mean_statistic(df: DataFrame, target: str, by: Sequence[str] = ()) -> DataFrame:
     kept = df.where(is_present(df, target))
-    return kept.groupBy(*[ref(b).alias(b) for b in by]).agg(F.avg(ref(target)).cast("double").alias("mean"))
+    return kept.groupBy(*[ref(b).alias(b) for b in by]).agg(
+        F.avg(ref(target)).cast("double").alias("mean"), F.count(F.lit(1)).alias("n"))
 
 
 def _statistic_fill(df: DataFrame, id_col: str, target: str, stats: DataFrame, value: str, by: Sequence[str],
@@ -87,23 +89,12 @@ def _statistic_fill(df: DataFrame, id_col: str, target: str, stats: DataFrame, v
         table = df.withColumn(target, patch(df, target, fill))
         gaps = df.where(is_missing(df, target))
     else:
-        rows = stats.limit(BROADCAST_GROUPS + 1).collect()
-        if len(rows) <= BROADCAST_GROUPS:
-            stats = F.broadcast(local_table(df.sparkSession, rows, stats.schema))
-        fill = F.coalesce(fill_digits(F.col(value), kind), F.lit(0.0))
-        left, right = df.alias("t"), stats.withColumnRenamed(value, "__stat").alias("s")
-
-        def attach(side: DataFrame) -> DataFrame:
-            side = side.alias("t")
-            return side.join(right, null_safe_match(side, right, by), "left").select(
-                *[side[c] for c in df.columns], F.col("__stat").alias("__fill")
-            )
-
+        stats = durable(stats.select(*[ref(b) for b in by], ref(value).alias("__fill"), F.col("n").alias("__n")))
         fill = F.coalesce(fill_digits(F.col("__fill"), kind), F.lit(0.0))
-        table = attach(left).select(*[
+        table = attach_unique(df, stats, by, weight="__n").select(*[
             (patch(df, c, fill) if c == target else ref(c)).alias(c) for c in df.columns
         ])
-        gaps = attach(df.where(is_missing(df, target)))
+        gaps = attach_unique(df.where(is_missing(df, target)), stats, by, weight="__n")
     ledger = ledger_rows(
         gaps, ref(id_col), target, num=fill, confidence=F.lit(confidence), method=F.lit(method),
         reasoning=F.lit(reasoning), run_ts=run_ts,

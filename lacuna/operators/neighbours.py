@@ -23,8 +23,9 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from lacuna.functions.columns import data_type, null_safe_match, numeric_columns, present_value, ref
+from lacuna.functions.columns import data_type, numeric_columns, present_value, ref
 from lacuna.functions.durable import durable
+from lacuna.functions.joins import attach_unique
 from lacuna.functions.ranking import top_n
 from lacuna.operators.cells import patch
 from lacuna.operators.impute import Filled, fill_digits, ledger_rows
@@ -209,7 +210,7 @@ def nearest_donors(base: DataFrame, survey: Row, m: int, k: int, leaf: int = LEA
 
 def distinct_receivers(base: DataFrame, names: Sequence[str]) -> DataFrame:
     """One receiver per block and coordinates, known by its smallest id."""
-    return base.where(F.col("y").isNull()).groupBy("block", *names).agg(F.min("id").alias("rid"))
+    return base.where(F.col("y").isNull()).groupBy("block", *names).agg(F.min("id").alias("rid"), F.count(F.lit(1)).alias("receivers"))
 
 
 def knn_predictions(df: DataFrame, id_col: str, target: str, features: Sequence[str], k: int = 3,
@@ -232,10 +233,9 @@ def knn_predictions(df: DataFrame, id_col: str, target: str, features: Sequence[
     near = nearest_donors(base, survey, len(names), k, leaf)
     means = near.groupBy("rid").agg(F.avg("y").alias("prediction"), F.count(F.lit(1)).alias("neighbours"))
     # Back from distinct receivers to all of them; NULL coordinates match each other.
-    left, right = wanting.alias("w"), unique.join(means, "rid").alias("u")
-    match = null_safe_match(left, right, ["block", *names])
-    return left.join(right, match, "left").select(
-        left["id"].alias("row_id"), F.coalesce("prediction", F.lit(survey["mean"]).cast("double")).alias("prediction"),
+    answers = durable(unique.join(means, "rid").drop("rid"))
+    return attach_unique(wanting, answers, ["block", *names], weight="receivers").select(
+        F.col("id").alias("row_id"), F.coalesce("prediction", F.lit(survey["mean"]).cast("double")).alias("prediction"),
         F.coalesce("neighbours", F.lit(0).cast("bigint")).alias("neighbours"),
     )
 

@@ -7,8 +7,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lacuna.functions.columns import as_text, is_present, null_safe_match, ref, round_half_even
+from lacuna.functions.columns import as_text, is_present, ref, round_half_even
 from lacuna.functions.durable import durable
+from lacuna.functions.joins import attach_unique
 from lacuna.params import ModelParams
 
 RESPONSE_SCHEMA = "cache_key string, response_text string, status string, attempts int"
@@ -75,10 +76,9 @@ def mode_answers(df: DataFrame, id_col: str, column: str, by: str, rows: DataFra
     value, votes, total = (overall["value"], overall["votes"], overall["total"]) if overall else (None, None, None)
     grouped = modes(df, column, [by])
     needed = rows.join(df.select(ref(id_col).alias("row_id"), ref(by).alias(by)), "row_id")
-    left, right = needed.alias("n"), grouped.alias("g")
-    joined = left.join(right, null_safe_match(left, right, [by]), "left")
+    joined = attach_unique(needed, grouped, [by], weight="total")
     return joined.select(
-        *[left[c] for c in rows.columns],
+        *[ref(c) for c in rows.columns],
         F.coalesce("value", F.lit(value).cast("string")).alias("value"),
         round_half_even(
             F.coalesce("votes", F.lit(votes).cast("bigint")) / F.coalesce("total", F.lit(total).cast("bigint")), 2

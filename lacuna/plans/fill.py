@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from lacuna.functions.columns import data_type, is_missing, is_numeric, ref, scalar_columns
 from lacuna.functions.durable import durable, local_table
+from lacuna.functions.joins import attach_unique
 from lacuna.operators.cache import CACHE_SCHEMA, cache_lookup
 from lacuna.operators.cells import apply_ledger, head_values, patch
 from lacuna.operators.impute import (
@@ -99,8 +100,7 @@ def _text_part(df: DataFrame, now: DataFrame, id_col: str, plan: Row, responder:
     at = F.lit(run_ts)
     known = cache if cache is not None else local_table(df.sparkSession, [], CACHE_SCHEMA)
     looked = cache_lookup(wanted, known, caching.ttl_seconds, at)
-    if cache is not None:
-        looked = durable(looked)
+    looked = durable(looked)  # read for misses, hits and the number of cells behind each prompt
     misses = looked.where(~F.col("hit")).select("cache_key", "row_id", "column", "prompt")
     if params.max_calls_per_column is not None:
         misses = cap_calls(misses, params.max_calls_per_column)
@@ -111,7 +111,9 @@ def _text_part(df: DataFrame, now: DataFrame, id_col: str, plan: Row, responder:
     answers = with_fallback(replies.unionByName(hits), plan["method"], categories if categorical else None)
     if categorical:
         answers = snap_category(answers, categories)
-    cells = prompts.select("row_id", "cache_key").join(answers, "cache_key")
+    answers = looked.select("cache_key", "cells").join(answers, "cache_key")
+    cells = attach_unique(prompts.select("row_id", "cache_key"), answers, ["cache_key"], weight="cells")
+    cells = cells.where(F.col("method").isNotNull())  # without an answer: beyond the call limit
     rows = ledger_rows(
         cells, F.col("row_id"), column, text=F.col("value"), confidence=F.col("confidence"), method=F.col("method"),
         reasoning=F.col("reasoning"), run_ts=run_ts)

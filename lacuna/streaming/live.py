@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from lacuna.functions.columns import ref
-from lacuna.functions.durable import local_table, small_table
-from lacuna.functions.quantile import BROADCAST_GROUPS
+from lacuna.functions.durable import durable, small_table
+from lacuna.functions.joins import attach_unique
 from lacuna.operators.cells import patch
 from lacuna.operators.input_rules import validate_input
 from lacuna.params import InputLimits
@@ -24,11 +24,8 @@ def stream_fill(stream: DataFrame, values: Mapping[str, float | str]) -> DataFra
 
 def stream_fill_by(stream: DataFrame, target: str, stats: DataFrame, by: str, value: str) -> DataFrame:
     """Fill from a static table of per-key statistics; broadcast only when it is small."""
-    rows = stats.limit(BROADCAST_GROUPS + 1).collect()
-    if len(rows) <= BROADCAST_GROUPS:
-        stats = F.broadcast(local_table(stream.sparkSession, rows, stats.schema))
-    known = stats.select(ref(by).alias("__by"), ref(value).alias("__fill"))
-    joined = stream.join(known, ref(by) == F.col("__by"), "left")
+    known = durable(stats.select(ref(by).alias(by), ref(value).alias("__fill")))  # frozen at start
+    joined = attach_unique(stream, known, [by])
     return joined.select(*[
         (patch(stream, c, F.col("__fill")) if c == target else ref(c)).alias(c) for c in stream.columns])
 
