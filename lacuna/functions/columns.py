@@ -128,11 +128,3 @@ def round_half_even(value: Column, digits: int) -> Column:
 def percentage(part: Column, whole: Column, digits: int) -> Column:
     """``100 * part / whole``; NULL when there is nothing to divide by."""
     return round_half_even(F.try_divide(part.cast("double"), whole.cast("double")) * 100.0, digits)
-
-
-def null_safe_match(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Equi-join condition that also pairs NULL keys. ``left`` and ``right`` must be aliased plans."""
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & left[key].eqNullSafe(right[key])
-    return condition

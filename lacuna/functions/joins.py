@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lacuna.functions.columns import null_safe_match, ref
+from lacuna.functions.columns import ref
 from lacuna.functions.durable import local_table
 
 BROADCAST_GROUPS = 10_000
@@ -25,13 +25,22 @@ def attach_unique(left: DataFrame, right: DataFrame, keys: Sequence[str], weight
     """
     extra = [c for c in right.columns if c not in keys]
 
-    def joined(l: DataFrame, r: DataFrame, how: str) -> DataFrame:
-        l, r = l.alias("l"), r.alias("r")
-        return l.join(r, null_safe_match(l, r, keys), how).select(*[l[c] for c in left.columns], *[r[c] for c in extra])
+    def match(r: DataFrame) -> tuple[DataFrame, Column]:
+        # New names on the right: it may come from the same table as the left.
+        renamed = r.select(*[ref(c).alias(f"__r_{c}") for c in r.columns])
+        condition = F.lit(True)
+        for k in keys:
+            condition = condition & ref(k).eqNullSafe(ref(f"__r_{k}"))
+        return renamed, condition
+
+    def joined(l: DataFrame, r: DataFrame, how: str, small: bool = False) -> DataFrame:
+        renamed, condition = match(r)
+        return l.join(F.broadcast(renamed) if small else renamed, condition, how).select(
+            *[ref(c) for c in left.columns], *[ref(f"__r_{c}").alias(c) for c in extra])
 
     rows = right.limit(BROADCAST_GROUPS + 1).collect()
     if len(rows) <= BROADCAST_GROUPS:
-        return joined(left, F.broadcast(local_table(left.sparkSession, rows, right.schema)), "left")
+        return joined(left, local_table(left.sparkSession, rows, right.schema), "left", small=True)
     if weight is None:
         return joined(left, right, "left")
     total, top = right.agg(F.sum(weight), F.max(weight)).first()
@@ -39,7 +48,6 @@ def attach_unique(left: DataFrame, right: DataFrame, keys: Sequence[str], weight
     if top < limit:
         return joined(left, right, "left")
     hot = right.where(ref(weight) >= limit)
-    marks = F.broadcast(hot.select(*keys)).alias("m")
-    side = left.alias("l")
-    cold = side.join(marks, null_safe_match(side, marks, keys), "left_anti")
-    return joined(left, F.broadcast(hot), "inner").unionByName(joined(cold, right.where(ref(weight) < limit), "left"))
+    marks, condition = match(hot.select(*keys))
+    cold = left.join(F.broadcast(marks), condition, "left_anti")
+    return joined(left, hot, "inner", small=True).unionByName(joined(cold, right.where(ref(weight) < limit), "left"))

@@ -65,7 +65,7 @@ def read_answer(text: Column, strict: Column, repaired: Column) -> Answer:
         .otherwise("Parse_Error")
     )
     reasoning = (
-        F.when(failed, "LLM error: confidence is not a number")
+        F.when(text.isNull(), "LLM error: no response").when(failed, "LLM error: confidence is not a number")
         .when(parsed, F.coalesce(_field(json, "reasoning", "string"), F.lit("LLM prediction")))
         .when((rung == 2) & ~F.regexp_like(text, F.lit(REASONING)), "Partial extraction")
         .when(rung == 2, why)
