@@ -101,15 +101,16 @@ def _value_key(df: DataFrame, name: str) -> dict[str, str]:
 def column_values(df: DataFrame, id_col: str, columns: Sequence[str]) -> DataFrame:
     """Distinct values of all ``columns``: ``position, whole, real, value_key, seen``; one shuffle.
 
-    ``seen.n`` counts the value, ``seen.first_id`` is where a text occurs first (categories are listed
-    by it). Both sit in one struct, so that column pruning leaves all readers the same shuffle to reuse.
+    ``seen`` holds one struct: ``n`` counts the value, ``first_id`` is where a text occurs first
+    (categories are listed by it). Inside an array the optimizer cannot prune either of them, so all
+    readers share one scan and one shuffle instead of repeating them for fewer columns.
     """
     position = {c: i for i, c in enumerate(df.columns)}
     names = ("whole", "real", "value_key")
     cells = inline_rows([{"position": str(position[c]), **_value_key(df, c)} for c in columns])
     long = df.select(ref(id_col).alias("id"), cells).where("whole IS NOT NULL OR real IS NOT NULL OR value_key IS NOT NULL")
     return long.groupBy("position", *names).agg(F.expr(
-        "named_struct('n', count(1), 'first_id', min(CASE WHEN value_key IS NOT NULL THEN id END)) AS seen"))
+        "array(named_struct('n', count(1), 'first_id', min(CASE WHEN value_key IS NOT NULL THEN id END))) AS seen"))
 
 
 def distinct_counts(df: DataFrame, id_col: str, columns: Sequence[str] | None = None,
@@ -127,7 +128,7 @@ def distinct_counts(df: DataFrame, id_col: str, columns: Sequence[str] | None =
         ]))
     values = column_values(df, id_col, columns)
     return values.groupBy("position").agg(
-        F.sum("seen.n").alias("present"), F.count(F.lit(1)).alias("unique_values")
+        F.expr("sum(element_at(seen, 1).n)").alias("present"), F.count(F.lit(1)).alias("unique_values")
     ).select("position", F.element_at(names, F.col("position")).alias("column"), "present", "unique_values")
 
 
@@ -154,14 +155,14 @@ def profile_columns(df: DataFrame, id_col: str, columns: Sequence[str] | None =
     text_positions = [position[c] for c in columns if not is_numeric(df, c)]
     if exact:
         values = column_values(df, id_col, exact)
-        per_column = values.groupBy("position").agg(F.sum("seen.n").alias("present"), F.count(F.lit(1)).alias("u"))
+        per_column = values.groupBy("position").agg(F.expr("sum(element_at(seen, 1).n)").alias("present"), F.count(F.lit(1)).alias("u"))
         small = per_column.where(
             F.col("position").isin(text_positions)
             & (F.col("u") <= F.least(F.lit(float(MAX_CATEGORIES)), F.col("present") * 0.5))
         ).select("position")
         # At most one row per column, and at most MAX_CATEGORIES values for each of them.
         lists = values.join(F.broadcast(small), "position").groupBy("position").agg(
-            F.array_sort(F.collect_list(F.struct("seen.first_id", "value_key"))).alias("categories")
+            F.array_sort(F.collect_list(F.struct(F.expr("element_at(seen, 1).first_id AS first_id"), "value_key"))).alias("categories")
         )
         for row in per_column.join(lists, "position", "left").collect():
             name = df.columns[row["position"]]

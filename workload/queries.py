@@ -618,9 +618,9 @@ def method_query(spark, sf):
     return R.method_breakdown(ledger(spark, sf))
 
 
-@query("method_confidence", "SELECT method, COUNT(*) AS fills, round(AVG(confidence), 6) AS average_confidence FROM ledger GROUP BY method", ("ledger",))
+@query("method_confidence", "SELECT method, COUNT(*) AS fills, round(AVG(confidence), 9) AS average_confidence FROM ledger GROUP BY method", ("ledger",))
 def method_confidence_query(spark, sf):
-    return R.method_confidence(ledger(spark, sf)).withColumn("average_confidence", F.round("average_confidence", 6))
+    return R.method_confidence(ledger(spark, sf)).withColumn("average_confidence", F.round("average_confidence", 9))
 
 
 @query("assess_quality", f"""SELECT round_even(s * 10.0, 0) / 10.0 AS overall_quality_score, {pct('high', 'n', 1)} AS high_confidence_percentage,
@@ -653,11 +653,11 @@ def run_summary_query(spark, sf):
 
 
 @query("batch_summary", """SELECT COUNT(*) AS total_files, COUNT(*) FILTER (WHERE success) AS successful_files, COUNT(*) FILTER (WHERE NOT success) AS failed_files,
-       round(SUM(duration_seconds), 4) AS total_processing_time, round(AVG(duration_seconds), 6) AS average_time_per_file FROM performance""", ("performance",))
+       round(SUM(duration_seconds), 2) AS total_processing_time, round(AVG(duration_seconds), 9) AS average_time_per_file FROM performance""", ("performance",))
 def batch_summary_query(spark, sf):
     reports = read(spark, sf, "performance").select("success", F.col("duration_seconds").alias("processing_seconds"))
-    return R.batch_summary(reports).withColumn("total_processing_time", F.round("total_processing_time", 4)).withColumn(
-        "average_time_per_file", F.round("average_time_per_file", 6))
+    return R.batch_summary(reports).withColumn("total_processing_time", F.round("total_processing_time", 2)).withColumn(
+        "average_time_per_file", F.round("average_time_per_file", 9))
 
 
 # ---------------------------------------------------------------- input rules
@@ -869,16 +869,21 @@ def validate_output_query(spark, sf):
 RECENT = f"timestamp >= {NOW} - INTERVAL {HOURS} HOURS"
 
 
-def rounded(df: DataFrame, *names: str, digits: int = 4) -> DataFrame:
-    return df.select(*[F.round(c, digits).alias(c) if c in names else F.col(c) for c in df.columns])
+# Sums of doubles differ in their last bits between engines: sums of cents are compared at two decimals, sums
+# of thousandths at four, and averages at nine, where no value of the tables lies halfway between two results.
+DIGITS = {"total_duration": 2, "cost": 4}
 
 
-OPERATIONS = f"""SELECT operation, COUNT(*) AS count, round(AVG(duration_seconds), 4) AS avg_duration, MIN(duration_seconds) AS min_duration,
-    MAX(duration_seconds) AS max_duration, round(SUM(duration_seconds), 4) AS total_duration FROM performance WHERE {RECENT} GROUP BY operation"""
+def rounded(df: DataFrame, *names: str) -> DataFrame:
+    return df.select(*[F.round(c, DIGITS.get(c, 9)).alias(c) if c in names else F.col(c) for c in df.columns])
+
+
+OPERATIONS = f"""SELECT operation, COUNT(*) AS count, round(AVG(duration_seconds), 9) AS avg_duration, MIN(duration_seconds) AS min_duration,
+    MAX(duration_seconds) AS max_duration, round(SUM(duration_seconds), 2) AS total_duration FROM performance WHERE {RECENT} GROUP BY operation"""
 API = f"""SELECT provider, COUNT(*) AS calls, CAST(COALESCE(SUM(tokens_used) FILTER (WHERE success), 0) AS BIGINT) AS tokens,
     round(COALESCE(SUM(cost) FILTER (WHERE success), 0), 4) AS cost, COUNT(*) FILTER (WHERE NOT success) AS errors,
-    (SELECT round(AVG(CASE WHEN success THEN 100.0 ELSE 0.0 END), 4) FROM api_calls WHERE {RECENT}) AS success_rate FROM api_calls WHERE {RECENT} GROUP BY provider"""
-IMPUTATIONS = f"""SELECT method, COUNT(*) AS operations, CAST(SUM(count) AS BIGINT) AS values_filled, round(AVG(average_confidence), 4) AS avg_confidence
+    (SELECT round(AVG(CASE WHEN success THEN 100.0 ELSE 0.0 END), 9) FROM api_calls WHERE {RECENT}) AS success_rate FROM api_calls WHERE {RECENT} GROUP BY provider"""
+IMPUTATIONS = f"""SELECT method, COUNT(*) AS operations, CAST(SUM(count) AS BIGINT) AS values_filled, round(AVG(average_confidence), 9) AS avg_confidence
     FROM imputations WHERE {RECENT} GROUP BY method"""
 
 
@@ -907,8 +912,8 @@ def imputation_summary_query(spark, sf):
     UNION ALL SELECT 'imputation.' || method || '.total', 1.0 FROM imputations UNION ALL SELECT 'imputation.values_filled.total', count FROM imputations)
     GROUP BY name""", ("performance", "api_calls", "imputations"))
 def counters_query(spark, sf):
-    return rounded(M.counters(read(spark, sf, "performance"), read(spark, sf, "api_calls"),
-                              read(spark, sf, "imputations").withColumnRenamed("col_name", "column")), "value")
+    return M.counters(read(spark, sf, "performance"), read(spark, sf, "api_calls"),
+                              read(spark, sf, "imputations").withColumnRenamed("col_name", "column")).withColumn("value", F.round("value", 4))
 
 
 @query("newest_metrics", "SELECT event_id FROM performance ORDER BY timestamp DESC, event_id LIMIT 5000", ("performance",))
@@ -922,7 +927,7 @@ def newest_few_query(spark, sf):
 
 
 def long_sql(section: str, key: str, inner: str, measures: list[str]) -> str:
-    return " UNION ALL ".join(f"SELECT '{section}' AS section, {key} AS key, '{m}' AS measure, round(CAST({m} AS DOUBLE), 3) AS value FROM ({inner})" for m in measures)
+    return " UNION ALL ".join(f"SELECT '{section}' AS section, {key} AS key, '{m}' AS measure, CAST({m} AS DOUBLE) AS value FROM ({inner})" for m in measures)
 
 
 @query("metrics_summary", " UNION ALL ".join([
@@ -934,7 +939,9 @@ def long_sql(section: str, key: str, inner: str, measures: list[str]) -> str:
 def metrics_summary_query(spark, sf):
     summary = M.metrics_summary(read(spark, sf, "performance"), read(spark, sf, "api_calls"), read(spark, sf, "imputations"),
                                 HOURS, now(), C.cache_stats(read(spark, sf, "cache"), 1000, 3600))
-    return rounded(summary, "value", digits=3)
+    exact = F.when(F.col("measure") == "total_duration", F.round("value", 2)).when(
+        F.col("measure") == "cost", F.round("value", 4)).otherwise(F.round("value", 9))
+    return summary.withColumn("value", exact)
 
 
 @query("pair_spans", """SELECT s.operation_id, s.operation, round((epoch_us(e.end_ts) - epoch_us(s.start_ts)) / 1000000.0, 6) AS duration_seconds, e.success, e.error
@@ -1033,7 +1040,7 @@ def stream_fill_by_query(spark, sf):
     return drained(stream_fill_by(stream, "value", stats, "user_id", "median"), spark, "stream-fill-by")
 
 
-WINDOWS = """SELECT epoch_us(w) AS window_us, operation, COUNT(*) AS count, round(AVG(duration_seconds), 4) AS avg_duration, MAX(duration_seconds) AS max_duration
+WINDOWS = """SELECT epoch_us(w) AS window_us, operation, COUNT(*) AS count, round(AVG(duration_seconds), 9) AS avg_duration, MAX(duration_seconds) AS max_duration
     FROM ({rows}) WHERE w + INTERVAL 1 HOUR <= (SELECT MAX(timestamp) - INTERVAL 1 HOUR FROM performance) GROUP BY w, operation"""
 
 
@@ -1052,7 +1059,7 @@ def stream_sliding_query(spark, sf):
 
 def windows(summary: DataFrame) -> DataFrame:
     return summary.select(F.unix_micros("window_start").alias("window_us"), "operation", "count",
-                          F.round("avg_duration", 4).alias("avg_duration"), "max_duration")
+                          F.round("avg_duration", 9).alias("avg_duration"), "max_duration")
 
 
 @query("stream_distinct_prompts", "SELECT DISTINCT sha256(CONCAT('k', user_id, '_', event_type)) AS cache_key FROM events")
