@@ -22,9 +22,14 @@ def _checkpoint_folder(spark: SparkSession) -> str:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the session's checkpoint folder and read it from there."""
-    _checkpoint_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as parquet into the session's checkpoint folder and read it from there.
+
+    This cuts the lineage at a table that outlives every executor. Unlike a checkpointed RDD it is
+    columnar, so later readers prune columns and know its size when they choose a join.
+    """
+    path = scratch_path(df.sparkSession, "durable")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def local_table(spark: SparkSession, rows: Sequence, schema: T.StructType | str) -> DataFrame:

@@ -81,8 +81,8 @@ def _grid_code(survey: Row, names: Sequence[str]) -> Column:
         scaled = (F.asinh((F.col(n) - centre) / spread) - first) / (last - first) * float(2**BITS)
         cell = F.least(F.greatest(F.floor(scaled), F.lit(0)), F.lit(2**BITS - 1))
         bits.append(F.lpad(F.bin(F.coalesce(cell, F.lit(0))), BITS, "0"))
-    steps = F.sequence(F.lit(1), F.lit(BITS))
-    return F.array_join(F.transform(steps, lambda i: F.concat(*[b.substr(i, F.lit(1)) for b in bits])), "")
+    digits = F.arrays_zip(*[F.split(b, "").alias(n) for b, n in zip(bits, names)])
+    return F.array_join(F.transform(digits, lambda z: F.concat(*[z[n] for n in names])), "")
 
 
 def _cells(donors: DataFrame, depth: int, step: int, names: Sequence[str]) -> DataFrame:
