@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lacuna.functions.columns import inline_rows, is_numeric, literal, quoted, ref, scalar_columns, text_sql, value_sql
-from lacuna.functions.durable import local_table
+from lacuna.functions.durable import local_table, small_table
 from lacuna.operators.impute import LEDGER_FIELDS
 from lacuna.params import QUALITY_STATES
 
@@ -189,7 +189,8 @@ def validate_output(before: DataFrame, after: DataFrame, ledger: DataFrame, id_c
     """All output checks as ``rule, severity, column, violations``; consistency issues only warn."""
     spark = before.sparkSession
     same_names = before.columns == after.columns
-    compared = compare_tables(before, after, id_col)
+    # One row per column, read by several rules: the tables are joined once.
+    compared = small_table(compare_tables(before, after, id_col))
 
     def row(rule: str, severity: str, column: str | None, count: str) -> dict[str, str]:
         return {"rule": literal(rule), "severity": literal(severity), "column": column or "CAST(NULL AS STRING)",

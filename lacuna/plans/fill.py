@@ -47,7 +47,7 @@ class FillResult(NamedTuple):
 def _working(df: DataFrame, id_col: str, parts: Sequence[DataFrame], literals: Mapping[str, float],
              joined: Sequence[str]) -> DataFrame:
     """The table with all fills so far: constants in place, everything else by a single join on the id."""
-    table = df
+    table = df  # untouched until there is something to fill in
     if parts:
         table = apply_ledger(df, id_col, reduce(DataFrame.unionByName, parts), joined)
     if literals:
@@ -66,7 +66,9 @@ def _numeric_part(df: DataFrame, now: DataFrame, id_col: str, column: str, param
     else:
         choice = choose_numeric(now, id_col, column, features)
         if params.statistical_method == "knn" and choice.method == "knn":
-            found = knn_predictions(now, id_col, column, choice.features, params.knn_neighbors)
+            # Earlier fills make ``now`` a join; its few columns needed here are written out before several passes.
+            narrow = now if now is df else durable(now.select(*[ref(c) for c in (id_col, column, *choice.features)]))
+            found = knn_predictions(narrow, id_col, column, choice.features, params.knn_neighbors)
             reason = f"K-NN imputation based on {len(choice.features)} related numeric columns"
             rows = ledger_rows(
                 found, F.col("row_id"), column, num=fill_digits(F.col("prediction"), kind), confidence=F.lit(0.8),
@@ -96,6 +98,8 @@ def _text_part(df: DataFrame, now: DataFrame, id_col: str, plan: Row, responder:
         examples = [r["value"] for r in head_values(now, id_col, 5, [column]).orderBy("rank").collect()]
         prompts = contextual_prompts(now, id_col, column, plan["domain_hints"] or [], examples, context, model)
 
+    if now is not df:
+        prompts = durable(prompts)
     wanted = distinct_prompts(prompts)
     at = F.lit(run_ts)
     known = cache if cache is not None else local_table(df.sparkSession, [], CACHE_SCHEMA)

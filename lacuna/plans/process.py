@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 from typing import NamedTuple
 
@@ -63,14 +64,14 @@ def with_row_ids(df: DataFrame, id_col: str) -> DataFrame:
 
 
 def fill_files(spark: SparkSession, paths: Sequence[str], out_dir: str | None, run_ts: datetime,
-               responders: Mapping[str, Responder] | None = None, params: FillParams = FillParams()) -> tuple[DataFrame, DataFrame]:
-    """Each file as its own Spark jobs; a file that fails does not stop the others.
+               responders: Mapping[str, Responder] | None = None, params: FillParams = FillParams(),
+               parallel: int = 4) -> tuple[DataFrame, DataFrame]:
+    """Each file as its own Spark jobs, ``parallel`` files at a time; a file that fails does not stop the others.
 
     Returns per-file reports ``batch_index, input_file, output_path, success, error, rows, fills,
     quality_score, processing_seconds`` and the batch summary. Output goes to ``out_dir/filled_<name>``.
     """
-    rows = []
-    for index, path in enumerate(paths):
+    def one(index: int, path: str) -> tuple:
         began = time.monotonic()
         try:
             table = with_row_ids(load(spark, path), "__row_id")
@@ -79,10 +80,13 @@ def fill_files(spark: SparkSession, paths: Sequence[str], out_dir: str | None, r
             if target:
                 write_csv(report.filled.table.drop("__row_id"), target)
             s = report.summary.first()
-            rows.append((index, path, target, True, None, s["total_rows_processed"], s["total_fields_filled"],
-                         s["overall_quality_score"], time.monotonic() - began))
+            return (index, path, target, True, None, s["total_rows_processed"], s["total_fields_filled"],
+                    s["overall_quality_score"], time.monotonic() - began)
         except Exception as error:
-            rows.append((index, path, None, False, str(error).splitlines()[0], None, None, None, time.monotonic() - began))
+            return (index, path, None, False, str(error).splitlines()[0], None, None, None, time.monotonic() - began)
+
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        rows = list(pool.map(one, range(len(paths)), paths))
     reports = local_table(
         spark, rows, "batch_index int, input_file string, output_path string, success boolean, error string, rows bigint, "
               "fills bigint, quality_score double, processing_seconds double")
