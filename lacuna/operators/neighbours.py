@@ -33,6 +33,7 @@ from lacuna.operators.impute import Filled, fill_digits, ledger_rows
 LEAF_DONORS = 128
 CROWDED = 4  # a cell is split further beyond this multiple of LEAF_DONORS
 BITS = 24
+RECEIVERS_PER_TASK = 50_000
 BROADCAST_ROWS = 100_000  # about 10 MB of cells or donors
 
 
@@ -53,7 +54,7 @@ def _survey(base: DataFrame, names: Sequence[str]) -> Row:
     donor, receiver = F.col("y").isNotNull(), F.col("y").isNull()
     vector = F.xxhash64(*names)
     return base.agg(
-        F.avg("y").alias("mean"), F.count("y").alias("donors"),
+        F.avg("y").alias("mean"), F.count("y").alias("donors"), F.count_if(receiver).alias("receivers"),
         F.approx_count_distinct(F.when(donor, vector)).alias("vectors"),
         F.collect_set(F.when(receiver, _pattern(names))).alias("patterns"),
         *[x for n in names for x in (
@@ -121,7 +122,8 @@ def nearest_donors(base: DataFrame, survey: Row, m: int, k: int, leaf: int = LEA
     names = _coordinates(m, "x")
     step = 2 if m == 1 else min(max(m, 4), 8)
     by_id = F.col("did").asc()
-    spread = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # The walk multiplies every receiver into cells: it is spread by receivers, not by their few bytes.
+    spread = max(base.sparkSession.sparkContext.defaultParallelism, survey["receivers"] // RECEIVERS_PER_TASK)
     receivers = distinct_receivers(base, names).withColumn("pr", _pattern(names)).repartition(spread, "rid")
     donors = base.where(F.col("y").isNotNull()).withColumnRenamed("id", "did")
 
