@@ -154,7 +154,6 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     Labels other than 0 and 1 and NULL ids are ignored; a repeated id counts as often as it is labelled. ``sample``
     bounds the rows that the support vectors come from; the class counts use all.
     """
-    spark = documents.sparkSession
     known = labels.where(ref(label_col).isin(0, 1) & ref(id_col).isNotNull()).where(~held_out(id_col)).select(
         ref(id_col).alias("id"), ref(label_col).cast("int").alias("label"), F.xxhash64(ref(id_col), F.lit(5)).alias("draw"))
     last = known.select("draw").orderBy("draw").limit(sample).agg(F.max("draw")).first()[0]
@@ -234,11 +233,9 @@ def score_quality(documents: DataFrame, model: Model | float, id_col: str = "doc
     Empty and NULL texts get the score of a text without features. A NULL id is not held out. One row for each row
     that goes in, repeated ids included; other columns are not read.
     """
-    spark = documents.sparkSession
-    shared = spark.sparkContext.broadcast(model)  # BUCKETS numbers, whatever the corpus size
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+    def work(batches: Iterator[pa.RecordBatch], m: Model | float = model) -> Iterator[pa.RecordBatch]:
+        # The model comes with the function: BUCKETS numbers, whatever the corpus size.
         for batch in batches:
             texts = column_bytes(batch.column(2))
             for s in chunks(texts):

@@ -8,6 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from lacuna.llm.bpe import round_trip
+from lacuna.llm.decontaminate import find_contaminated
+from lacuna.llm.exact_dedup import exact_dedup
 from lacuna.llm.html_extract import extract_main_text
 from lacuna.llm.quality import score_quality, train
 from lacuna.llm.secrets import find_secrets
@@ -30,11 +32,19 @@ def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages"))
 
 
+def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup(table(spark, sf_dir, "documents"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return score_quality(documents, train(documents, table(spark, sf_dir, "labels")))
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -48,7 +58,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filter, op2_html_extract, op5_quality, op7_token_counts, op8_secrets, op9_bpe)
+    f.__name__: f for f in (op1_url_filter, op2_html_extract, op3_exact_dedup, op5_quality, op6_decontaminate, op7_token_counts, op8_secrets, op9_bpe)
 }
 
 ORACLE: dict[str, str] = {
@@ -67,4 +77,29 @@ judged AS (
 SELECT page_id, host, path, rule,
        CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict
 FROM judged""",
+    "op3_exact_dedup": r"""
+WITH rows_ AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
+SELECT doc_id, min(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
+       doc_id = min(doc_id) OVER (PARTITION BY norm) AS kept, sha256(norm) AS text_sha256
+FROM rows_""",
+    "op6_decontaminate": r"""
+WITH low AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+items AS (
+  SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
+wins AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS m, array_to_string(w[i : i + least(len(w), 10) - 1], ' ') AS win
+  FROM items, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS t(i) WHERE len(w) > 0),
+places AS (
+  SELECT doc_id, m, i, array_to_string(w[i : i + m - 1], ' ') AS win
+  FROM low, (SELECT DISTINCT m FROM wins), unnest(range(1, len(w) - m + 2)) AS t(i) WHERE len(w) >= m),
+hits AS (SELECT doc_id, i, m, item_id FROM places JOIN wins USING (m, win)),
+words_ AS (SELECT doc_id, count(DISTINCT i + k) AS n_hit FROM hits, unnest(range(0, m)) AS t(k) GROUP BY doc_id),
+found AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS listed
+          FROM hits GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM low LEFT JOIN words_ USING (doc_id) LEFT JOIN found USING (doc_id)""",
 }
