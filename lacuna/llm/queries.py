@@ -11,6 +11,7 @@ from lacuna.llm.bpe import round_trip
 from lacuna.llm.decontaminate import find_contaminated
 from lacuna.llm.exact_dedup import exact_dedup
 from lacuna.llm.html_extract import extract_main_text
+from lacuna.llm.ngram_join import ngram_components
 from lacuna.llm.quality import score_quality, train
 from lacuna.llm.secrets import find_secrets
 from lacuna.llm.tables import table
@@ -36,6 +37,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_components(table(spark, sf_dir, "documents"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return score_quality(documents, train(documents, table(spark, sf_dir, "labels")))
@@ -58,7 +63,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filter, op2_html_extract, op3_exact_dedup, op5_quality, op6_decontaminate, op7_token_counts, op8_secrets, op9_bpe)
+    f.__name__: f for f in (op1_url_filter, op2_html_extract, op3_exact_dedup, op4_ngram_join, op5_quality, op6_decontaminate, op7_token_counts, op8_secrets, op9_bpe)
 }
 
 ORACLE: dict[str, str] = {
