@@ -31,7 +31,7 @@ from lacuna.functions.columns import ref
 from lacuna.functions.durable import durable
 from lacuna.functions.joins import attach_unique
 from lacuna.llm.components import components
-from lacuna.llm.exact_dedup import golomb_decode, golomb_encode
+from lacuna.llm.exchange import MESSAGE, messages, shared_tokens
 from lacuna.llm.tables import checked, slots
 from lacuna.llm.text import chunks, column_bytes, mix, word_hashes
 from lacuna.llm.trie import similar_links
@@ -149,23 +149,9 @@ def _send(documents: DataFrame, words: int, percent: int, level: np.ndarray, own
         start = np.searchsorted(hot_doc, np.arange(len(held)))
         wanted = np.arange(len(hot_doc)) - start[hot_doc] < need[hot_doc]
         listed = b"".join(sid for sid, _ in held)
-        rows = [(int(chunk % owners), None, None, b"".join([
-            len(held).to_bytes(4, "little"), listed, sizes.astype("<i4").tobytes(), ordinary.astype("<i4").tobytes(),
-            (hot_key[wanted] >> cut).astype("<u8").tobytes(), hot_doc[wanted].astype("<u2").tobytes()]))]
-        keys, doc = keys[~hot], doc[~hot]
-        order = np.argsort(keys, kind="stable")
-        keys, doc = keys[order], doc[order]
-        owner = ((keys >> np.uint64(32)) * np.uint64(owners)) >> np.uint64(32)
-        bounds = np.searchsorted(owner, np.arange(owners + 1, dtype=np.uint64))
-        tokens = keys >> cut
-        for k in range(owners):
-            a, b = int(bounds[k]), int(bounds[k + 1])
-            if b > a:
-                rows.append((k, int(tokens[a]), golomb_encode(tokens[a:b] - tokens[a]), doc[a:b].astype("<u2").tobytes()))
-        owner_, base, code, places = zip(*rows)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(owner_, pa.int32()), pa.array([chunk] * len(rows), pa.int64()), pa.array(base, pa.int64()),
-             pa.array(code, pa.binary()), pa.array(places, pa.binary())], names=["owner", "chunk", "base", "tokens", "places"])
+        own = b"".join([len(held).to_bytes(4, "little"), listed, sizes.astype("<i4").tobytes(), ordinary.astype("<i4").tobytes(),
+                        (hot_key[wanted] >> cut).astype("<u8").tobytes(), hot_doc[wanted].astype("<u2").tobytes()])
+        yield messages(chunk, owners, own, keys[~hot], doc[~hot], bits)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk = TaskContext.get().partitionId() << 24
@@ -190,47 +176,7 @@ def _send(documents: DataFrame, words: int, percent: int, level: np.ndarray, own
             yield from flush(chunk, held[k:k + CHUNK_TEXTS])
             chunk += 1
 
-    return documents.mapInArrow(work, "owner int, chunk long, base long, tokens binary, places binary")
-
-
-def _own(messages: DataFrame) -> DataFrame:
-    """chunk and what it gets: its own list (shared NULL), or its tokens that other documents have too."""
-
-    def work(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["chunk", "shared", "body"]
-        senders, tokens, places = [], [], []
-        for b in batches:
-            for chunk, base, code, place in zip(*(b.column(c).to_pylist() for c in ("chunk", "base", "tokens", "places"))):
-                if code is None:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([chunk], pa.int64()), pa.array([None], pa.int32()), pa.array([place], pa.binary())], names=names)
-                else:
-                    senders.append(chunk)
-                    tokens.append(golomb_decode(code) + np.uint64(base))
-                    places.append(np.frombuffer(place, "<u2"))
-        if not tokens:
-            return
-        sender = np.repeat(np.arange(len(tokens), dtype=np.int32), [len(t) for t in tokens])
-        every, place = np.concatenate(tokens), np.concatenate(places)
-        del tokens, places
-        order = np.argsort(every, kind="stable")
-        every = every[order]
-        first = np.flatnonzero(np.concatenate(([True], every[1:] != every[:-1])))
-        times = np.diff(np.append(first, len(every)))
-        count = np.repeat(np.minimum(times, 65535).astype("<u2"), times)
-        many = count > 1
-        order, every, count = order[many], every[many], count[many]
-        back = np.argsort(sender[order], kind="stable")
-        order, every, count = order[back], every[back], count[back]
-        bounds = np.searchsorted(sender[order], np.arange(len(senders) + 1))
-        for k, chunk in enumerate(senders):
-            a, b = int(bounds[k]), int(bounds[k + 1])
-            if b > a:
-                body = every[a:b].astype("<u8").tobytes() + place[order[a:b]].astype("<u2").tobytes() + count[a:b].tobytes()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([chunk], pa.int64()), pa.array([b - a], pa.int32()), pa.array([body], pa.binary())], names=names)
-
-    return messages.groupBy("owner").applyInArrow(work, "chunk long, shared int, body binary")
+    return documents.mapInArrow(work, MESSAGE)
 
 
 def _prefixes(answers: DataFrame, percent: int) -> DataFrame:
@@ -358,7 +304,7 @@ def _cluster(spark, source: DataFrame, measured: DataFrame, meta: DataFrame, tot
     level = np.where(counts > hot, counts, 0).astype(np.int64)
     owners = max(slots(spark), -(-total // OWNER_TOKENS))
     bits = min(63, max(40 if total < 1 << 28 else 0, int(total).bit_length() + 10))
-    prefixes = durable(_prefixes(_own(_send(source, words, percent, level, owners, bits)), percent))
+    prefixes = durable(_prefixes(shared_tokens(_send(source, words, percent, level, owners, bits)), percent))
     hubs = prefixes.groupBy("token").agg(F.min("sid").alias("hub"), F.max("sid").alias("other"), F.count("*").alias("times"))
     hubs = durable(hubs.where("hub != other").select("token", "hub", "times"))
     edges = attach_unique(prefixes.select("token", "sid"), hubs, ["token"], weight="times").where("hub IS NOT NULL AND sid != hub")

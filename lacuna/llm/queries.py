@@ -14,6 +14,7 @@ from lacuna.llm.html_extract import extract_main_text
 from lacuna.llm.ngram_join import ngram_components
 from lacuna.llm.quality import score_quality, train
 from lacuna.llm.secrets import find_secrets
+from lacuna.llm.suffix_dedup import drop_repeats
 from lacuna.llm.tables import table
 from lacuna.llm.token_counts import count_tokens
 from lacuna.llm.url_filter import Rule, filter_urls, host_rule
@@ -62,8 +63,12 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_repeats(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filter, op2_html_extract, op3_exact_dedup, op4_ngram_join, op5_quality, op6_decontaminate, op7_token_counts, op8_secrets, op9_bpe)
+    f.__name__: f for f in (op1_url_filter, op2_html_extract, op3_exact_dedup, op4_ngram_join, op5_quality, op6_decontaminate, op7_token_counts, op8_secrets, op9_bpe, op10_suffix_dedup)
 }
 
 ORACLE: dict[str, str] = {
