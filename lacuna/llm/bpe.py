@@ -180,8 +180,8 @@ def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids
     return _mapped(df, id_col, ids_col, work, "text string")
 
 
-def round_trip(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col``, n_tokens, ids_sha256 and decoded_sha256: encode and decode in one pass, without moving ids.
+def round_trip(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
+    """``id_col``, n_tokens, ids_sha256, decoded_sha256 (and ids): encode and decode in one pass.
 
     Rows and NULLs as in ``encode``.
     """
@@ -193,10 +193,11 @@ def round_trip(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array([len(i) // 4 for i in ids], pa.int64()),
                  pa.array([hashlib.sha256(i).hexdigest() for i in ids], pa.string()),
-                 pa.array([hashlib.sha256(codec.decode(i)).hexdigest() for i in ids], pa.string())],
-                names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                 pa.array([hashlib.sha256(codec.decode(i)).hexdigest() for i in ids], pa.string()),
+                 *([pa.array(ids, pa.binary())] if with_ids else [])],
+                names=["id", "n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if with_ids else [])])
 
-    return _mapped(df, id_col, text_col, work, "n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return _mapped(df, id_col, text_col, work, "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * with_ids)
 
 
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -268,12 +268,13 @@ def _links(clustered: DataFrame, percent: int, block_tokens: int) -> DataFrame:
 
 def ngram_components(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT,
                      block_tokens: int = BLOCK_TOKENS, key_col: str | None = None) -> DataFrame:
-    """One row per row: ``id_col`` (and ``key_col``), n_shingles, component_id.
+    """One row per row: ``id_col``, n_shingles, component_id; with a unique row key ``key_col`` also that and kept.
 
     Two documents link when their shingle sets' intersection has at least ``percent`` hundredths of their union;
     ``component_id`` is the smallest id that links lead to, the row's own included. NULL and wordless texts have no
     shingles and no links. Rows with equal sets, repeated rows included, share a component; NULL ids are never the smallest
-    unless a component has no other. An empty table gives an empty result; other columns are not read.
+    unless the component has no other. Of each component the row of the smallest id, then key, is ``kept``; rows without shingles
+    are. An empty table gives an empty result; other columns are not read.
     """
     spark = documents.sparkSession
     key = F.lit(None).cast("long") if key_col is None else ref(key_col)
@@ -288,12 +289,14 @@ def ngram_components(documents: DataFrame, id_col: str = "doc_id", text_col: str
     grouped = meta.where("n > 0")
     grouped = grouped.withColumn("g", F.col("sid")) if labels is None else attach_unique(
         grouped, labels.withColumnRenamed("node", "sid"), ["sid"]).withColumn("g", F.coalesce("label", "sid"))
-    least = durable(grouped.groupBy("g").agg(F.min("id").alias("component_id"), F.count("*").alias("size")))
-    names = ["key", "id", "n", "component_id"]
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key"))
+    least = durable(grouped.groupBy("g").agg(first.alias("first"), F.count("*").alias("size")).select(
+        "g", "size", F.col("first.id").alias("component_id"), F.col("first.key").alias("keep")))
+    names = ["key", "id", "n", "component_id", "keep"]
     named = attach_unique(grouped, least, ["g"], weight="size").select(names).unionByName(
-        meta.where("n = 0").withColumn("component_id", F.col("id")).select(names))
-    return named.select(F.col("id").alias(id_col), *([F.col("key").alias(key_col)] if key_col else []),
-                        F.col("n").alias("n_shingles"), "component_id")
+        meta.where("n = 0").withColumns({"component_id": F.col("id"), "keep": F.col("key")}).select(names))
+    kept = [F.col("key").alias(key_col), F.col("key").eqNullSafe(F.col("keep")).alias("kept")] if key_col else []
+    return named.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", *kept)
 
 
 def _cluster(spark, source: DataFrame, measured: DataFrame, meta: DataFrame, total: int, words: int, percent: int,

@@ -248,3 +248,17 @@ def score_quality(documents: DataFrame, model: Model | float, id_col: str = "doc
     rows = documents.select(ref(id_col).alias("id"), held_out(id_col).alias("held_out"), ref(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     return rows.mapInArrow(work, f"id {kind}, held_out boolean, score double, predicted int").withColumnRenamed("id", id_col)
+
+
+def keep_quality(documents: DataFrame, model: Model | float, text_col: str = "text") -> DataFrame:
+    """The rows whose text is not rejected (score >= 0.5), all columns as they are; rows are judged where they are read."""
+    at = documents.columns.index(text_col)
+
+    def work(batches: Iterator[pa.RecordBatch], m: Model | float = model) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = column_bytes(batch.column(at))
+            for s in chunks(texts):
+                good = [(m if isinstance(m, float) else m.score(f)) >= 0.5 for f in features(texts[s])]
+                yield batch.slice(s.start, s.stop - s.start).filter(pa.array(good, pa.bool_()))
+
+    return documents.mapInArrow(work, documents.schema)
