@@ -17,12 +17,13 @@ from lacuna.llm.secrets import find_secrets
 from lacuna.llm.suffix_dedup import drop_repeats
 from lacuna.llm.tables import table
 from lacuna.llm.token_counts import count_tokens
-from lacuna.llm.url_filter import Rule, filter_urls, host_rule
+from lacuna.llm.url_filter import filter_urls, host_glob, host_rule
 
-#: The fixed rules, and globs over hosts that the method judges by itself (``*`` stays within the host).
+#: The fixed rules, and hosts whose names say what they are, for URLs that no fixed rule fits.
 URL_RULES = (
     host_rule("net/", "block"), host_rule("example.net/en/", "allow"), host_rule("example.com/de/", "block"),
     host_rule("org/fr/", "allow"),
+    *(host_glob(g, "block") for g in ("*adult-*", "*casino-*", "*pills*", "*spam-*")),
 )
 
 
@@ -85,8 +86,9 @@ judged AS (
     WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule
   FROM parts)
 SELECT page_id, host, path, rule,
-       CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict
-FROM judged""",
+       CASE WHEN rule IN ('net/', 'example.com/de/') OR fallback IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict, fallback
+FROM (SELECT *, CASE WHEN rule IS NOT NULL THEN NULL WHEN host LIKE '%casino-%' THEN '*casino-*' WHEN host LIKE '%adult-%' THEN '*adult-*'
+                     WHEN host LIKE '%pills%' THEN '*pills*' WHEN host LIKE '%spam-%' THEN '*spam-*' END AS fallback FROM judged)""",
     "op3_exact_dedup": r"""
 WITH rows_ AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
 SELECT doc_id, min(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,

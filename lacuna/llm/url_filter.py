@@ -27,11 +27,12 @@ BATCH = 4096
 
 @dataclass(frozen=True)
 class Rule:
-    """A rule's name, its verdict and the globs that stand for it."""
+    """A rule's name, its verdict and the globs that stand for it; a fallback only judges what no other rule fits."""
 
     name: str
     verdict: str
     globs: tuple[str, ...]
+    fallback: bool = False
 
 
 def host_rule(name: str, verdict: str) -> Rule:
@@ -39,6 +40,11 @@ def host_rule(name: str, verdict: str) -> Rule:
     return Rule(name, verdict, (f"{name}**", f"*.{name}**"))
 
 
+def host_glob(glob: str, verdict: str) -> Rule:
+    """A fallback for hosts that match ``glob``, whatever their path."""
+    return Rule(glob, verdict, (glob, f"{glob}/**"), fallback=True)
+
+
 class Automaton:
     """Masks of all globs: which bits a byte lets through, which bits it lets stay."""
 
@@ -118,17 +124,18 @@ def path_of(url: Column) -> Column:
 
 def filter_urls(pages: DataFrame, rules: Sequence[Rule], id_col: str = "page_id", url_col: str = "url",
                 default: str = "allow") -> DataFrame:
-    """Judge every URL: ``id_col``, host, path, rule, verdict.
+    """Judge every URL: ``id_col``, host, path, rule, verdict, fallback.
 
-    Of the rules that match, the one with the longest name wins, then the one listed first. Without a match the
-    rule is NULL and the verdict is ``default``; that also holds for NULL, empty and malformed URLs, whose host and
-    path are empty. One row comes out for each row that goes in, repeated and NULL ids included; other columns
+    Of the rules that match, the one with the longest name wins, then the one listed first. If none does, ``rule`` is NULL
+    and the fallbacks decide in the same way (``fallback`` names the one that did); then the verdict is ``default``. That
+    also holds for NULL, empty and malformed URLs, whose host and path are empty. One row comes out for each row that goes in, repeated and NULL ids included; other columns
     are not read. The rules travel with the tasks; their masks take 4 KB for 64 pattern positions.
     """
-    ranked = sorted(enumerate(rules), key=lambda x: (-len(x[1].name), x[0]))
+    ranked = sorted(enumerate(rules), key=lambda x: (x[1].fallback, -len(x[1].name), x[0]))
     globs = [g for _, r in ranked for g in r.globs]
     owner = np.array([k for k, (_, r) in enumerate(ranked) for _ in r.globs], np.int64)
-    names = [r.name for _, r in ranked] + [None]
+    names = [None if r.fallback else r.name for _, r in ranked] + [None]
+    fallbacks = [r.name if r.fallback else None for _, r in ranked] + [None]
     verdicts = [r.verdict for _, r in ranked] + [default]
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,10 +149,11 @@ def filter_urls(pages: DataFrame, rules: Sequence[Rule], id_col: str = "page_id"
                     np.full(len(urls), len(ranked))
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns, pa.array([names[k] for k in best], pa.string()),
-                     pa.array([verdicts[k] for k in best], pa.string())], names=["id", "host", "path", "rule", "verdict"])
+                     pa.array([verdicts[k] for k in best], pa.string()), pa.array([fallbacks[k] for k in best], pa.string())],
+                    names=["id", "host", "path", "rule", "verdict", "fallback"])
 
     url = ref(url_col)
     parts = pages.select(ref(id_col).alias("id"), host_of(url).alias("host"), path_of(url).alias("path"))
     kind = parts.schema["id"].dataType.simpleString()
-    judged = parts.mapInArrow(judge, f"id {kind}, host string, path string, rule string, verdict string")
+    judged = parts.mapInArrow(judge, f"id {kind}, host string, path string, rule string, verdict string, fallback string")
     return judged.withColumnRenamed("id", id_col)

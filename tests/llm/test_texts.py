@@ -21,7 +21,8 @@ PIECES, BYTES = public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers
 def test_url_rules(spark):
     urls = [None, "", "no scheme", "http://", "HTTPS://WWW.Example.NET/en/x?q=/de/", "http://example.net", "http://example.net/enx",
             "http://a.example.com/de/1#f", "http://example.com/fr/1", "http://xexample.com/de/", "http://b.org/fr/", "http://org/fr/a",
-            "http://borg/fr/", "x://a.net://b.org/fr/", "http://a.net/" + "y" * 50_000, "http://ÄB.net/é", "http://h.net\n/p", "http://a.net/"]
+            "http://borg/fr/", "x://a.net://b.org/fr/", "http://a.net/" + "y" * 50_000, "http://ÄB.net/é", "http://h.net\n/p", "http://a.net/", "http://x.adult-y.com", "http://spam-z.example.com/de/p",
+            "http://www.casino-a.com/en/", "http://c.com/adult-x"]
     rows = [(k, u) for k, u in enumerate(urls)] + [(0, None), (None, "http://n.net/")]
     df = filter_urls(cases.frame(spark, rows, ("page_id", "url")), URL_RULES)
     got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in df.collect()}
@@ -37,7 +38,8 @@ def test_url_rules(spark):
             host = rest[:end].translate(cases.UPPER)
             path = tail[:min([tail.index(c) for c in "?#" if c in tail], default=len(tail))]
         fit = [r for r in rules if (host == r[0] or host.endswith("." + r[0])) and path.startswith(r[1])]
-        best = max(fit, key=lambda r: len(r[2]), default=(None, None, None, "allow"))
+        globbed = any(g in host for g in ("adult-", "casino-", "pills", "spam-"))
+        best = max(fit, key=lambda r: len(r[2]), default=(None, None, None, "block" if globbed else "allow"))
         assert got[k] == (host, path, best[2], best[3]), u
 
 
