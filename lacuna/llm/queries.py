@@ -94,6 +94,19 @@ WITH rows_ AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D
 SELECT doc_id, min(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
        doc_id = min(doc_id) OVER (PARTITION BY norm) AS kept, sha256(norm) AS text_sha256
 FROM rows_""",
+    "op4_ngram_join": r"""
+WITH RECURSIVE low AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+grams AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + least(len(w), 4) - 1], ' ') AS gram
+  FROM low, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS t(i) WHERE len(w) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM grams a JOIN grams b USING (gram) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM common JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y WHERE 100 * c >= 85 * (a.n + b.n - c)),
+reach AS (SELECT doc_id, doc_id AS other FROM low UNION SELECT doc_id, y FROM reach JOIN links ON other = x),
+least_ AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM least_ LEFT JOIN sizes USING (doc_id)""",
     "op6_decontaminate": r"""
 WITH low AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
