@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from lacuna.functions.columns import ref
 
 ROWS = 500
+DEEPEST = 512  # elements nested deeper do not open a level of their own; their text stays with the last level
 
 #: HTML element groups.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -35,10 +36,13 @@ IMPLIED = {"li": ({"li"}, {"ul", "ol", "menu"}), "dd": ({"dd", "dt"}, {"dl"}), "
            "option": ({"option"}, {"select"})}
 INLINE_STOP = frozenset("table td th caption button html body article section div aside nav header footer form main li".split())
 
-_NEGATIVE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|comments?|respond|discuss\w*|disqus|replies|sidebar|"
-    r"side|menu|nav\w*|breadcrumbs?|header|masthead|footer|foot|cookies?|notice|consent|gdpr|popup|modal|newsletter|"
-    r"subscribe|share|sharing|social|related|recommend\w*|widget|login|signup|form|toolbar|pager|pagination)(?:$|[\s_-])", re.I)
+#: Words in a class or id that tell what an element is, and words that may follow them.
+_WORDS = ("ads?|advert[^\\W_]*|adsense|sponsor[^\\W_]*|promo[^\\W_]*|banner|comments?|respond|discuss[^\\W_]*|disqus|replies|sidebar|side|menu|nav|navbar|"
+          "navigation|breadcrumbs?|header|masthead|footer|foot|cookies?|notices?|consent|gdpr|popup|modal|newsletter|subscribe|"
+          "shar(?:e|ing)|social|related|recommend[^\\W_]*|widget|login|signup|form|toolbar|pager|pagination")
+_PARTS = "list|section|area|box|wrap|wrapper|container|block|inner|content|body|text|items?|links?|group|row|slot|unit|bar|left|right|top|bottom|\\d+"
+_NEGATIVE = re.compile(rf"(?!(?:has|with|no|without)[-_])(?:[^\W_]+[-_]+)*?(?:{_WORDS})(?:[-_](?:{_PARTS}))*", re.I)
+_COMMENT = re.compile(r"(?:[^\W_]+[-_]+)*?(?:comments?|reply|replies|response)(?:[-_]+[^\W_]+)*", re.I)
 _ROLE = frozenset(("navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "form", "menu"))
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|$)", re.S)
@@ -48,24 +52,26 @@ _STRONG = frozenset(("article", "main"))
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "dropped", "score", "chars", "linked")
+    __slots__ = ("tag", "parent", "children", "dropped", "score", "chars", "linked", "depth")
 
     def __init__(self, tag: str, parent: Node | None, dropped: bool) -> None:
         self.tag, self.parent, self.dropped = tag, parent, dropped
         self.children: list[Node | str] = []
         self.score, self.chars, self.linked = 0.0, 0, 0
+        self.depth = 0 if parent is None else parent.depth + 1
 
 
 def _unwanted(tag: str, attributes: str) -> bool:
     if tag in DROPPED:
         return True
-    if not attributes or tag in ("html", "body", "article", "main"):
+    if not attributes or tag in ("html", "body"):
         return False
+    negative = _COMMENT if tag in _STRONG else _NEGATIVE
     for name, *values in _ATTRIBUTE.findall(attributes):
         value = "".join(values).strip()
         name = name.lower()
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "role" and value.lower() in _ROLE \
-                or name in ("class", "id") and _NEGATIVE.search(value):
+                or name in ("class", "id") and any(negative.fullmatch(word) for word in value.split()):
             return True
     return False
 
@@ -125,7 +131,7 @@ def parse(html: str) -> Node:
         if tag in RAW:
             stop = re.compile(rf"</{re.escape(tag)}[^>]*>?", re.I).search(html, at)
             at = stop.end() if stop else end
-        elif tag not in VOID and not (m[3] or "").endswith("/"):
+        elif tag not in VOID and not (m[3] or "").endswith("/") and node.depth < DEEPEST:
             top = node
     return root
 
@@ -218,7 +224,9 @@ def main_text(html: str | None) -> str:
         if isinstance(n, str) or n.dropped:
             continue
         density = n.linked / n.chars if n.chars else 0.0
-        if n is best or n.score >= bar or n.tag == "p" and n.chars > 80 and density < 0.25 and best.tag not in _STRONG:
+        # An article or main element is complete; other containers may be one part of several.
+        near = best.tag not in _STRONG and (n.score >= bar or n.tag == "p" and n.chars > 80 and density < 0.25)
+        if n is best or near:
             out += blocks_of(n)
     return "\n\n".join(out)
 

@@ -82,6 +82,19 @@ def test_main_text():
     assert len(main_text("<article><p>" + "word, " * 100_000)) == 599_999
 
 
+def test_main_text_classes():
+    def page(attributes, tag="div"):
+        return main_text(f"<body><div><p>{'Good text, here. ' * 9}</p><{tag} {attributes}><p>other, text, there</p></{tag}></div></body>")
+
+    for gone in ('class="ad"', "id=comments", 'class="x comment-list"', 'class="post-footer"', 'class="cookie-notice-bar"', "role=navigation",
+                 "hidden", 'aria-hidden="true"', 'class="menu-item-3"'):
+        assert "other" not in page(gone), gone
+    for kept in ('class="adapted"', 'class="post-comments-open"', 'class="ad-free"', 'class="has-sidebar"', 'id="article-text"', "data-ad=x"):
+        assert "other" in page(kept), kept
+    assert "other" not in page('class="comment"', "article")
+    assert main_text("<article><p>The one, and, only.</p></article><article><p>Next, please.</p></article>") == "The one, and, only."
+
+
 def test_extract_rows(spark):
     rows = [(1, "u", PAGE), (1, "u", PAGE), (2, None, None), (None, "v", "<article><p>a"), (3, "w", "")]
     df = extract_main_text(cases.frame(spark, rows, ("page_id", "url", "html"), ("bigint", "string", "string")))
