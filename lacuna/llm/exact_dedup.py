@@ -30,7 +30,7 @@ KEYS_BROADCAST = 1_000_000
 
 
 def golomb_encode(values: np.ndarray) -> bytes:
-    """Sorted distinct non-negative integers as gaps, the quotients in unary and the remainders in fixed bits.
+    """Sorted non-negative integers as gaps, the quotients in unary and the remainders in fixed bits.
 
     The divisor is the power of two next to the mean gap.
     """
@@ -38,8 +38,7 @@ def golomb_encode(values: np.ndarray) -> bytes:
     if n == 0:
         return b"\0" * 5
     gaps = np.diff(values.astype(np.uint64), prepend=np.uint64(0))
-    k = max(0, int(values[-1]) // n).bit_length() - 1
-    k = max(0, k)
+    k = max(0, (int(values[-1]) // n).bit_length() - 1)
     quotient = (gaps >> np.uint64(k)).astype(np.int64)
     stops = np.cumsum(quotient + 1) - 1
     unary = np.ones(int(stops[-1]) + 1, np.uint8)

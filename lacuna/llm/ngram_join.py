@@ -45,6 +45,7 @@ CHUNK_TEXTS = 60_000
 OWNER_TOKENS = 4_000_000
 BLOCK_TOKENS = 4_000_000
 IDS_BROADCAST = 1_000_000
+CLUSTERS_BROADCAST = 10_000
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F,
                                0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
@@ -254,10 +255,10 @@ def _links(clustered: DataFrame, percent: int, block_tokens: int) -> DataFrame:
     marked = large.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
     sizes = marked.groupBy("cluster", "label").agg(F.sum("n").alias("weight"))
     main = sizes.groupBy("cluster").agg(F.max_by("label", F.struct("weight", "label")).alias("main"))
-    rest = marked.join(F.broadcast(main) if main.limit(10_001).count() <= 10_000 else main, "cluster").withColumn("out", F.col("label") != F.col("main"))
+    rest = marked.join(checked(main, CLUSTERS_BROADCAST), "cluster").withColumn("out", F.col("label") != F.col("main"))
     # Sets outside the main group are few blocks of their own; each meets every block of its cluster.
     totals = rest.groupBy("cluster").agg(F.sum(F.when(F.col("out"), F.col("n"))).alias("out_tokens"))
-    rest = rest.join(F.broadcast(totals) if totals.limit(10_001).count() <= 10_000 else totals, "cluster")
+    rest = rest.join(checked(totals, CLUSTERS_BROADCAST), "cluster")
     outs = F.ceil(F.coalesce("out_tokens", F.lit(0)) / (block_tokens / 2)).cast("int")
     rest = rest.withColumn("outs", outs).where("outs > 0")
     mine = F.pmod(F.xxhash64("sid", F.lit(1)), F.col("outs")).cast("int")
