@@ -43,7 +43,7 @@ PIECES = 32
 CHUNK_TOKENS = 1_500_000
 CHUNK_TEXTS = 60_000
 OWNER_TOKENS = 4_000_000
-BLOCK_TOKENS = 4_000_000
+BLOCK_TOKENS = 500_000
 IDS_BROADCAST = 1_000_000
 CLUSTERS_BROADCAST = 10_000
 
