@@ -38,7 +38,7 @@ from lacuna.llm.text import column_bytes, mix
 
 LENGTH = 200
 GRAM = 64
-SEGMENT = 1 << 20  # bytes that are hashed together
+SEGMENT = 1 << 17  # bytes that are hashed together: the arrays stay in the processor's cache
 CHUNK_ANCHORS = 300_000
 CHUNK_TEXTS = 60_000
 OWNER_ANCHORS = 2_000_000
@@ -46,6 +46,7 @@ RUNS_PER_GROUP = 20_000
 HOT_RUNS = 20_000
 RUNS_HELD = 100_000  # different runs that a task combines before it passes them on
 TEXTS_BROADCAST = 1_000_000
+TEXT_BYTES_PER_GROUP = 32 << 20
 
 _PLACE_BITS = np.uint64(22)
 _PRIME = 0x9E3779B97F4A7C15 | 1
@@ -92,29 +93,28 @@ def runs_of(texts: list[bytes], roller: Roller, length: int) -> Iterator[tuple[i
         if len(data) < length:
             return
         hashed = roller.hashes(data)
-        place = np.arange(len(hashed), dtype=np.uint64)
-        best = (hashed & ~((np.uint64(1) << _PLACE_BITS) - np.uint64(1))) | place
+        mask = (np.uint64(1) << _PLACE_BITS) - np.uint64(1)
+        best = (hashed & ~mask) | np.arange(len(hashed), dtype=np.uint64)
         width, span = 1, length - gram + 1
         while 2 * width <= span:
             best = np.minimum(best[:-width], best[width:])
             width *= 2
         if span > width:
             best = np.minimum(best[:width - span], best[span - width:])
-        sizes = np.array([len(p) for _, _, p in parts], np.int64)
-        starts = np.cumsum(sizes) - sizes
-        number = np.repeat(np.arange(len(parts)), sizes)[:len(best)]
-        inside = np.arange(len(best)) + length <= (starts + sizes)[number]
-        anchor = (best & ((np.uint64(1) << _PLACE_BITS) - np.uint64(1))).astype(np.int64)
-        windows = np.flatnonzero(inside)
-        if not len(windows):
-            return
-        anchor, number = anchor[windows], number[windows]
-        new = np.flatnonzero(np.concatenate(([True], (anchor[1:] != anchor[:-1]) | (number[1:] != number[:-1]))))
-        count = np.diff(np.append(new, len(windows)))
-        number, first, anchor = number[new], windows[new], anchor[new]
+        anchor = (best & mask).astype(np.int64)
+        # A run ends where the anchor changes, and at the last window inside its part.
+        starts = np.cumsum([0] + [len(p) for _, _, p in parts])
+        ends = np.flatnonzero(anchor[1:] != anchor[:-1]) + 1
+        first = np.unique(np.concatenate((ends, starts[:-1])))
+        first = first[first < len(anchor)]
+        number = np.searchsorted(starts, first, "right") - 1
+        stop = np.minimum(np.append(first[1:], len(anchor)), starts[number + 1] - length + 1)
+        whole = stop > first
+        first, stop, number = first[whole], stop[whole], number[whole]
+        anchor = anchor[first]
         doc = np.array([d for d, _, _ in parts], np.int64)[number]
         shift = np.array([o for _, o, _ in parts], np.int64)[number] - starts[number]
-        yield doc, first + shift, count, anchor + shift, hashed[anchor]
+        yield doc, first + shift, stop - first, anchor + shift, hashed[anchor]
 
     for d, text in enumerate(texts):
         if len(text) < length:
@@ -252,14 +252,37 @@ def _first_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield batch if len(keep) == batch.num_rows else batch.take(pa.array(keep, pa.int64()))
 
 
-def _suspect_runs(texts: DataFrame, length: int, gram: int, bits: int, with_bytes: bool) -> DataFrame:
-    """Runs with a shared anchor: (sha, first, run) to find their places, or distinct per task with their bytes and a count."""
+def _part(groups: int):
+    return F.pmod(F.xxhash64("sha"), F.lit(groups)).alias("part")
+
+
+def _with_anchors(found: DataFrame, suspects: DataFrame, groups: int) -> DataFrame:
+    """sha, text, anchors: each text once, however many tasks have read it."""
+
+    def attach(left: pa.Table, right: pa.Table) -> pa.Table:
+        anchors = dict(zip(right.column("sha").to_pylist(), right.column("anchors").to_pylist()))
+        keep, with_ = [], []
+        for k, sha in enumerate(left.column("sha").to_pylist()):
+            if (mine := anchors.pop(sha, None)) is not None:
+                keep.append(k)
+                with_.append(mine)
+        return left.select(["sha", "text"]).take(pa.array(keep, pa.int64())).append_column("anchors", pa.array(with_, pa.binary()))
+
+    return found.select(_part(groups), "sha", "text").groupBy("part").cogroup(
+        suspects.select(_part(groups), "sha", "anchors").groupBy("part")).applyInArrow(attach, "sha binary, text string, anchors binary")
+
+
+def _suspect_runs(texts: DataFrame, length: int, gram: int, bits: int) -> DataFrame:
+    """Runs with a shared anchor, each once per text (sha, first, run), and once per task with its bytes (sha NULL)."""
 
     def told(seen: dict[tuple[int, bytes], list]) -> pa.RecordBatch:
+        n = len(seen)
         return pa.RecordBatch.from_arrays(
-            [pa.array([t for t, _ in seen], pa.int64()), pa.array([r for _, r in seen], pa.binary()),
-             pa.array([v[0] for v in seen.values()], pa.int32()), pa.array([v[1] for v in seen.values()], pa.binary()),
-             pa.array([v[2] for v in seen.values()], pa.int64())], names=["anchor", "run", "lead", "body", "times"])
+            [pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64()), pa.array([r for _, r in seen], pa.binary()),
+             pa.array([t for t, _ in seen], pa.int64()), pa.array([v[0] for v in seen.values()], pa.int32()),
+             pa.array([v[1] for v in seen.values()], pa.binary()), pa.array([v[2] for v in seen.values()], pa.int64())], names=names)
+
+    names = ["sha", "first", "run", "anchor", "lead", "body", "times"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roller = Roller(gram)
@@ -272,28 +295,29 @@ def _suspect_runs(texts: DataFrame, length: int, gram: int, bits: int, with_byte
                 places: list[tuple[bytes, int, bytes]] = []
                 for doc, first, count, anchor, hashed in runs_of(bodies, roller, length):
                     token = hashed >> np.uint64(64 - bits)
+                    kept = []
                     for d in np.unique(doc).tolist():
                         a, b = np.searchsorted(doc, [d, d + 1]).tolist()
-                        for k in (a + np.flatnonzero(np.isin(token[a:b], wanted[d]))).tolist():
-                            f, lead = int(first[k]), int(anchor[k] - first[k])
-                            body = bodies[d][f:f + int(count[k]) + length - 1]
-                            run = hashlib.blake2b(lead.to_bytes(2, "little") + body, digest_size=16).digest()
-                            if with_bytes:
-                                seen.setdefault((int(token[k]), run), [lead, body, 0])[2] += 1
-                            else:
-                                places.append((shas[d], f, run))
+                        kept.append(a + np.flatnonzero(np.isin(token[a:b], wanted[d])))
+                    kept = np.concatenate(kept) if kept else np.zeros(0, np.int64)
+                    for d, f, n, lead, t in zip(*(x[kept].tolist() for x in (doc, first, count, anchor - first, token))):
+                        body = bodies[d][f:f + n + length - 1]
+                        run = hashlib.blake2b(lead.to_bytes(2, "little") + body, digest_size=16).digest()
+                        seen.setdefault((t, run), [lead, body, 0])[2] += 1
+                        places.append((shas[d], f, run))
                 if len(seen) >= RUNS_HELD:
                     yield told(seen)
                     seen = {}
                 if places:
+                    n = len(places)
                     sha, first_, run_ = zip(*places)
-                    yield pa.RecordBatch.from_arrays([pa.array(sha, pa.binary()), pa.array(first_, pa.int64()),
-                                                      pa.array(run_, pa.binary())], names=["sha", "first", "run"])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(sha, pa.binary()), pa.array(first_, pa.int64()), pa.array(run_, pa.binary()), pa.nulls(n, pa.int64()),
+                         pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64())], names=names)
         if seen:
             yield told(seen)
 
-    return texts.mapInArrow(work, "anchor long, run binary, lead int, body binary, times long" if with_bytes
-                            else "sha binary, first long, run binary")
+    return texts.mapInArrow(work, "sha binary, first long, run binary, anchor long, lead int, body binary, times long")
 
 
 def _repeated(rows: DataFrame, length: int, gram: int) -> DataFrame:
@@ -347,28 +371,38 @@ def _repeated(rows: DataFrame, length: int, gram: int) -> DataFrame:
     return rows.groupBy("part", "salt").applyInArrow(work, "run binary, windows binary, digest binary, place int")
 
 
-def _remove(texts: DataFrame, marks: DataFrame, length: int) -> DataFrame:
+def _remove(texts: DataFrame, marks: DataFrame, length: int, groups: int) -> DataFrame:
     """sha, n_removed, spans (removed bytes, as start and end) and kept_sha256 of each text with repeated windows."""
     span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
+    types = [pa.binary(), pa.int64(), pa.list_(span), pa.string()]
 
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
-        names = ["sha", "n_removed", "spans", "kept_sha256"]
-        types = [pa.binary(), pa.int64(), pa.list_(span), pa.string()]
-        if not left.num_rows or not right.num_rows:
-            return pa.table([pa.array([], t) for t in types], names=names)
-        body = left.column("text")[0].as_py().encode()
-        edges = np.zeros(len(body) + 1, np.int64)
-        for first, bits, place in zip(*(right.column(c).to_pylist() for c in ("first", "windows", "place"))):
-            starts = first + np.flatnonzero(np.unpackbits(np.frombuffer(bits, np.uint8))) if bits is not None else np.array([first + place])
-            np.add.at(edges, starts, 1)
-            np.add.at(edges, starts + length, -1)
-        gone = np.cumsum(edges[:-1]) > 0
-        ends = np.flatnonzero(np.diff(np.concatenate(([0], gone.view(np.int8), [0])))).reshape(-1, 2).tolist()
-        kept = np.frombuffer(body, np.uint8)[~gone].tobytes()
-        return pa.table([pa.array([left.column("sha")[0].as_py()], types[0]), pa.array([int(gone.sum())], types[1]),
-                         pa.array([[{"start": a, "end": b} for a, b in ends]], types[2]), pa.array([hashlib.sha256(kept).hexdigest()], types[3])], names=names)
-
-    return texts.groupBy("sha").cogroup(marks.groupBy("sha")).applyInArrow(
+        out: list[tuple] = []
+        shas, bodies = left.column("sha").to_pylist(), column_bytes(left.column("text").combine_chunks())
+        at = {s: k for k, s in enumerate(shas)}
+        text = np.array([at[s] for s in right.column("sha").to_pylist()], np.int64)
+        order = np.argsort(text, kind="stable")
+        bounds = np.searchsorted(text[order], np.arange(len(shas) + 1)).tolist()
+        first, place = (right.column(c).to_numpy()[order] for c in ("first", "place"))
+        windows = right.column("windows").to_pylist()
+        for k, (a, b) in enumerate(zip(bounds, bounds[1:])):
+            if a == b:
+                continue
+            body = np.frombuffer(bodies[k], np.uint8)
+            sets = [windows[j] for j in order[a:b].tolist()]
+            many = np.array([w is not None for w in sets])
+            sizes = np.array([len(w) * 8 for w in sets if w is not None], np.int64)
+            base = np.repeat(first[a:b][many] - (np.cumsum(sizes) - sizes), sizes)
+            hit = np.flatnonzero(np.unpackbits(np.frombuffer(b"".join(w for w in sets if w is not None), np.uint8)))
+            starts = np.concatenate((base[hit] + hit, (first + place)[a:b][~many]))
+            edges = np.bincount(starts, minlength=len(body) + 1) - np.bincount(starts + length, minlength=len(body) + 1)
+            gone = np.cumsum(edges[:-1]) > 0
+            ends = np.flatnonzero(np.diff(np.concatenate(([0], gone.view(np.int8), [0])))).reshape(-1, 2).tolist()
+            out.append((shas[k], int(gone.sum()), [{"start": x, "end": y} for x, y in ends], hashlib.sha256(body[~gone].tobytes()).hexdigest()))
+        columns = zip(*out) if out else [[]] * 4
+        return pa.table([pa.array(c, t) for c, t in zip(columns, types)], names=["sha", "n_removed", "spans", "kept_sha256"])
+
+    return texts.select(_part(groups), "sha", "text").groupBy("part").cogroup(marks.select(_part(groups), "*").groupBy("part")).applyInArrow(
         cut, "sha binary, n_removed long, spans array<struct<start: long, end: long>>, kept_sha256 string")
 
 
@@ -393,14 +427,17 @@ def drop_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str = "
     suspects = _suspects(shared_tokens(_anchors(source, length, gram, owners, bits)))
     # A text that several tasks read has the same list from each: all its anchors that occur more than once.
     suspects = durable(suspects.groupBy("sha").agg(F.min("anchors").alias("anchors")))
-    found = source.mapInArrow(_first_copies, source.schema).join(checked(suspects, TEXTS_BROADCAST), "sha")
-    texts = durable(found.repartition(owners, "sha").mapInArrow(_first_copies, found.schema))
-    places = durable(_suspect_runs(texts, length, gram, bits, with_bytes=False))
+    # Only digests are broadcast; the anchors meet the texts that are left.
+    wanted = suspects.select(F.col("sha").alias("wanted"))
+    found = source.mapInArrow(_first_copies, source.schema).join(checked(wanted, TEXTS_BROADCAST), F.col("sha") == F.col("wanted"), "left_semi")
+    parts = max(slots(spark), -(-total // TEXT_BYTES_PER_GROUP))
+    texts = durable(_with_anchors(found, suspects, parts))
+    runs = durable(_suspect_runs(texts, length, gram, bits))
+    places, pieces = runs.where("sha IS NOT NULL").select("sha", "first", "run"), runs.where("sha IS NULL")
     n_runs = places.count()
     groups = max(slots(spark), -(-n_runs // runs_per_group))
     if n_runs == 0:
         return _finish(meta, None, id_col, length)
-    pieces = durable(_suspect_runs(texts, length, gram, bits, with_bytes=True))
     # Anchors with very many different runs are split; how many each task holds bounds the number from above.
     hot = pieces.groupBy("anchor").agg(F.count("*").alias("runs")).where(F.col("runs") > hot_runs)
     hot = hot.withColumn("salts", F.ceil(F.col("runs") / (hot_runs / 2)).cast("int"))
@@ -418,7 +455,7 @@ def drop_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str = "
     marks = durable(marks.join(uses, "run"))
     placed = attach_unique(places, marks, ["run"], weight="uses").where("marks IS NOT NULL").select(
         "sha", "first", F.explode("marks").alias("mark")).select("sha", "first", "mark.windows", "mark.place")
-    return _finish(meta, _remove(texts.select("sha", "text"), placed, length), id_col, length)
+    return _finish(meta, _remove(texts, placed, length, parts), id_col, length)
 
 
 def _finish(meta: DataFrame, removed: DataFrame | None, id_col: str, length: int) -> DataFrame:
