@@ -40,9 +40,9 @@ WORDS = 4
 PERCENT = 85
 SKETCH_BITS = 20
 PIECES = 32
-CHUNK_TOKENS = 1_500_000
+CHUNK_TOKENS = 600_000
 CHUNK_TEXTS = 60_000
-OWNER_TOKENS = 4_000_000
+OWNER_TOKENS = 1_500_000
 BLOCK_TOKENS = 500_000
 IDS_BROADCAST = 1_000_000
 CLUSTERS_BROADCAST = 10_000
@@ -305,7 +305,7 @@ def _cluster(spark, source: DataFrame, measured: DataFrame, meta: DataFrame, tot
     """node, label of all sets that similar sets hold together; None if there are no candidates."""
     counts = _sketch(measured)
     hot = 4 * total / len(counts) + 1000
-    level = np.where(counts > hot, counts, 0).astype(np.int64)
+    level = np.where(counts > hot, np.ceil(4 * np.log2(np.maximum(counts, 1))), 0).astype(np.uint8)
     owners = max(slots(spark), -(-total // OWNER_TOKENS))
     bits = min(63, max(40 if total < 1 << 28 else 0, int(total).bit_length() + 10))
     prefixes = durable(_prefixes(shared_tokens(_send(source, words, percent, level, owners, bits)), percent))
