@@ -26,7 +26,7 @@ from lacuna.llm.tables import checked, slots
 
 EXTRA_BITS = 20  # fingerprints this much longer than needed to count rows: about 1 in 2**20 unique rows is a false suspect
 ROWS_PER_SENDER = 2_000_000
-KEYS_BROADCAST = 1_000_000
+KEYS_BROADCAST = 250_000
 
 
 def golomb_encode(values: np.ndarray) -> bytes:

@@ -44,7 +44,7 @@ CHUNK_TOKENS = 600_000
 CHUNK_TEXTS = 60_000
 OWNER_TOKENS = 1_500_000
 BLOCK_TOKENS = 500_000
-IDS_BROADCAST = 1_000_000
+IDS_BROADCAST = 500_000
 CLUSTERS_BROADCAST = 10_000
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F,

@@ -25,7 +25,7 @@ from lacuna.llm.text import NOT_WHITE, chunks, column_bytes, hash_ranges, join_t
 
 BUCKETS = 1 << 18
 SAMPLE = 12_000
-LABELS_BROADCAST = 1_000_000
+LABELS_BROADCAST = 500_000
 PIECES = 16  # parts that a count vector is summed in
 EPOCHS = 12
 COST = 1.0

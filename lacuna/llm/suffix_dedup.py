@@ -45,7 +45,7 @@ OWNER_ANCHORS = 2_000_000
 RUNS_PER_GROUP = 20_000
 HOT_RUNS = 20_000
 RUNS_HELD = 100_000  # different runs that a task combines before it passes them on
-TEXTS_BROADCAST = 1_000_000
+TEXTS_BROADCAST = 250_000
 TEXT_BYTES_PER_GROUP = 32 << 20
 
 _PLACE_BITS = np.uint64(22)
