@@ -17,7 +17,7 @@ from lacuna.llm.url_filter import LOWER, UPPER
 
 WINDOW = 10
 MOST_BITS = 1 << 26
-WINDOWS_BROADCAST = 500_000
+WINDOWS_BROADCAST = 100_000
 #: All ASCII that is in no word, once A-Z are lower-cased.
 BETWEEN = r"[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
