@@ -34,7 +34,7 @@ from lacuna.llm.components import components
 from lacuna.llm.exchange import MESSAGE, messages, shared_tokens
 from lacuna.llm.tables import checked, slots
 from lacuna.llm.text import chunks, column_bytes, mix, word_hashes
-from lacuna.llm.trie import similar_links
+from lacuna.llm.trie import Forest, similar_links
 
 WORDS = 4
 PERCENT = 85
@@ -219,7 +219,7 @@ def _prefixes(answers: DataFrame, percent: int) -> DataFrame:
 
 
 def _join_sets(rows: DataFrame, percent: int) -> DataFrame:
-    """Links a, b that hold together the similar sets of each group (cluster, x, y); rows also have sid and keys."""
+    """Links from the smallest set (a) of similar ones to the others (b), in each group (cluster, x, y) of sets (sid, keys)."""
 
     def work(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets: dict[bytes, np.ndarray] = {}
@@ -228,16 +228,19 @@ def _join_sets(rows: DataFrame, percent: int) -> DataFrame:
                 if sid not in sets:
                     sets[sid] = np.frombuffer(keys, "<u8")
         names = sorted(sets)
-        links = similar_links([sets[s] for s in names], percent)
-        if links:
-            yield pa.RecordBatch.from_arrays([pa.array([names[a] for a, _ in links], pa.binary()),
-                                              pa.array([names[b] for _, b in links], pa.binary())], names=["a", "b"])
+        forest = Forest(len(names))
+        for a, b in similar_links([sets[s] for s in names], percent):
+            forest.union(a, b)
+        joined = [(names[r], names[k]) for k in range(len(names)) if (r := forest.find(k)) != k]
+        if joined:
+            a, b = zip(*joined)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
     return rows.select("cluster", "x", "y", "sid", "keys").groupBy("cluster", "x", "y").applyInArrow(work, "a binary, b binary")
 
 
-def _links(clustered: DataFrame, percent: int, block_tokens: int) -> DataFrame:
-    """Links within clusters. ``clustered``: cluster, tokens (its total), sid, n, keys; written, since it is read again.
+def _labels(clustered: DataFrame, percent: int, block_tokens: int) -> DataFrame:
+    """node, label of the sets that similar ones hold together. ``clustered``: cluster, tokens (its total), sid, n, keys; written, since it is read again.
 
     A large cluster's sets are dealt into blocks. Block 0 meets every block; groups that this joins need no more
     comparison among themselves. What is left outside its block-0 group (usually little) then meets all blocks.
@@ -247,8 +250,8 @@ def _links(clustered: DataFrame, percent: int, block_tokens: int) -> DataFrame:
                        percent)
     large = clustered.where(F.col("tokens") > block_tokens).withColumn("blocks", F.ceil(F.col("tokens") / (block_tokens / 2)).cast("int"))
     large = large.withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
-    if large.limit(1).count() == 0:
-        return small
+    if large.limit(1).count() == 0:  # every group was whole in one task
+        return durable(small.select(F.col("b").alias("node"), F.col("a").alias("label")))
     to_all = F.when(F.col("block") == 0, F.sequence(none, F.col("blocks") - 1)).otherwise(F.array("block"))
     near = durable(_join_sets(large.select("cluster", none.alias("x"), F.explode(to_all).alias("y"), "sid", "keys"), percent))
     labels = components(near)
@@ -264,7 +267,7 @@ def _links(clustered: DataFrame, percent: int, block_tokens: int) -> DataFrame:
     mine = F.pmod(F.xxhash64("sid", F.lit(1)), F.col("outs")).cast("int")
     as_out = rest.where("out").select("cluster", mine.alias("x"), F.explode(F.sequence(none, F.col("blocks") - 1)).alias("y"), "sid", "keys")
     as_any = rest.select("cluster", F.explode(F.sequence(none, F.col("outs") - 1)).alias("x"), F.col("block").alias("y"), "sid", "keys")
-    return small.unionByName(near).unionByName(_join_sets(as_out.unionByName(as_any), percent))
+    return components(small.unionByName(near).unionByName(_join_sets(as_out.unionByName(as_any), percent)))
 
 
 def ngram_components(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT,
@@ -332,4 +335,4 @@ def _cluster(spark, source: DataFrame, measured: DataFrame, meta: DataFrame, tot
     sets = texts.mapInArrow(rebuild, "sid binary, keys binary")
     sums = members.groupBy("cluster").agg(F.sum("n").alias("tokens"))
     clustered = durable(members.select("sid", "n", "cluster").join(sums, "cluster").join(sets, "sid"))
-    return components(_links(clustered, percent, block_tokens))
+    return _labels(clustered, percent, block_tokens)
