@@ -33,7 +33,7 @@ from lacuna.functions.joins import attach_unique
 from lacuna.llm.components import components
 from lacuna.llm.exchange import MESSAGE, messages, shared_tokens
 from lacuna.llm.tables import checked, slots
-from lacuna.llm.text import chunks, column_bytes, mix, word_hashes
+from lacuna.llm.text import chunks, column_bytes, mix, slices, word_hashes
 from lacuna.llm.trie import Forest, similar_links
 
 WORDS = 4
@@ -92,7 +92,7 @@ def _measure(documents: DataFrame, words: int) -> DataFrame:
         counts = np.zeros(1 << SKETCH_BITS, np.uint32)
         names = ["piece", "key", "id", "n", "sid", "body"]
         types = None
-        for batch in batches:
+        for batch in slices(batches):
             types = batch.schema
             texts = column_bytes(batch.column(2))
             for s in chunks(texts):
@@ -159,7 +159,7 @@ def _send(documents: DataFrame, words: int, percent: int, level: np.ndarray, own
         held: list[tuple[bytes, np.ndarray]] = []
         seen: set[bytes] = set()
         tokens = 0
-        for batch in batches:
+        for batch in slices(batches):
             texts = column_bytes(batch.column(2))
             for s in chunks(texts):
                 for keys in shingle_sets(texts[s], words):
@@ -324,7 +324,7 @@ def _cluster(spark, source: DataFrame, measured: DataFrame, meta: DataFrame, tot
     wanted = members.select(F.col("id").alias("wanted")).distinct()
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = column_bytes(batch.column(0))
             for s in chunks(texts):
                 sets = shingle_sets(texts[s], words)

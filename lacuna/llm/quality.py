@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from lacuna.functions.columns import ref
 from lacuna.llm.tables import checked
-from lacuna.llm.text import NOT_WHITE, chunks, column_bytes, hash_ranges, join_texts, mix, word_ranges
+from lacuna.llm.text import NOT_WHITE, chunks, column_bytes, hash_ranges, join_texts, mix, slices, word_ranges
 
 BUCKETS = 1 << 18
 SAMPLE = 12_000
@@ -168,7 +168,7 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
         counts = np.zeros((2, BUCKETS), np.int64)
         seen = False
         names = ["piece", "label", "body"]
-        for batch in batches:
+        for batch in slices(batches):
             label, sampled = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)
             texts = column_bytes(batch.column(2))
             for s in chunks(texts):
@@ -236,7 +236,7 @@ def score_quality(documents: DataFrame, model: Model | float, id_col: str = "doc
 
     def work(batches: Iterator[pa.RecordBatch], m: Model | float = model) -> Iterator[pa.RecordBatch]:
         # The model comes with the function: BUCKETS numbers, whatever the corpus size.
-        for batch in batches:
+        for batch in slices(batches):
             texts = column_bytes(batch.column(2))
             for s in chunks(texts):
                 scores = [m if isinstance(m, float) else m.score(f) for f in features(texts[s])]
@@ -255,7 +255,7 @@ def keep_quality(documents: DataFrame, model: Model | float, text_col: str = "te
     at = documents.columns.index(text_col)
 
     def work(batches: Iterator[pa.RecordBatch], m: Model | float = model) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = column_bytes(batch.column(at))
             for s in chunks(texts):
                 good = [(m if isinstance(m, float) else m.score(f)) >= 0.5 for f in features(texts[s])]

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from lacuna.functions.columns import ref
-from lacuna.llm.text import chunks, column_bytes, word_ranges
+from lacuna.llm.text import chunks, column_bytes, slices, word_ranges
 
 KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_mixed")
 BASE = 3  # the first kinds are the known forms
@@ -152,7 +152,7 @@ def find_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(allowed)
-        for batch in batches:
+        for batch in slices(batches):
             texts = column_bytes(batch.column(1))
             for s in chunks(texts):
                 found = scanner.scan(texts[s])

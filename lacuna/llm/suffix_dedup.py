@@ -34,7 +34,7 @@ from lacuna.functions.durable import durable
 from lacuna.functions.joins import attach_unique
 from lacuna.llm.exchange import MESSAGE, messages, shared_tokens
 from lacuna.llm.tables import checked, slots
-from lacuna.llm.text import column_bytes, mix
+from lacuna.llm.text import column_bytes, mix, slices
 
 LENGTH = 200
 GRAM = 64
@@ -186,7 +186,7 @@ def _anchors(documents: DataFrame, length: int, gram: int, owners: int, bits: in
         docs: list[np.ndarray] = []
         seen: set[bytes] = set()
         held = 0
-        for batch in batches:
+        for batch in slices(batches):
             fresh = []
             for sha, text in zip(batch.column(0).to_pylist(), column_bytes(batch.column(1))):
                 if len(text) >= length and sha not in seen:

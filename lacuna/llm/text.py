@@ -24,6 +24,13 @@ def column_bytes(column: pa.Array) -> list[bytes]:
     return [b"" if v is None else v for v in column.cast(pa.large_binary()).to_pylist()]
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that only few texts are Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def chunks(texts: list[bytes], limit: int = CHUNK_BYTES) -> Iterator[slice]:
     """Slices of consecutive texts with at most ``limit`` bytes, or with one text."""
     start, size = 0, 0
