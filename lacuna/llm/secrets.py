@@ -1,9 +1,10 @@
 """Secrets in text: known forms, and high-entropy strings by a sliding window.
 
-Candidate strings are maximal runs of key characters. A window of ``WINDOW`` characters slides over each; the counts of
-the two characters that enter and leave update the sum of ``c * log2(c)``, from which the window's Shannon entropy
-follows in constant time. Each character class (lower-case hex, upper-case hex, mixed) has its own threshold; windows
-above it are merged to spans. Candidates on the allow-list are left alone.
+Candidate strings are maximal runs of key characters, cut at the ``=`` before a value and at the slashes of paths; a
+slash within base64 is no cut. A window of ``WINDOW`` characters slides over each; the counts of the two characters that
+enter and leave update the sum of ``c * log2(c)``, from which the window's Shannon entropy follows in constant time. Each
+window has the first character class (lower-case hex, upper-case hex, mixed) that holds all of it, with a threshold of its
+own; windows above it are merged to spans by kind. Candidates on the allow-list are left alone.
 """
 
 from __future__ import annotations
@@ -28,11 +29,23 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 ASSIGN_VALUE, ACCESS_LENGTH, HEX_LENGTH = 6, 20, 24
 WINDOW = 20
 
-#: What looks random but is no secret: UUIDs, digits only, placeholders, alphabets, paths.
+#: What looks random but is no secret: UUIDs, digits only, placeholders, alphabets, words of one case joined by hyphens.
 ALLOWED = (
     r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", r"[0-9_+/=-]+", r"(?i).*(?:example|placeholder|changeme|dummy|xxxx).*",
-    r"(?i).*(?:0123456789|abcdefghij).*", r"(?:[^/]*/){3,}[^/]*", r"(?:[A-Za-z0-9]{1,12}[-_]){2,}[A-Za-z0-9]{1,12}",
+    r"(?i).*(?:0123456789|abcdefghij).*",
+    r"(?:(?:[A-Z]?[a-z0-9]{1,12}|[A-Z0-9]{1,12})[-_]){2,}(?:[A-Z]?[a-z0-9]{1,12}|[A-Z0-9]{1,12})",
 )
+#: Segments between slashes as paths have them, and the bits per character by which random base64 is unlikelier to have them.
+#: Standard base64 has no hyphens and underscores.
+SEGMENTS = tuple((re.compile(p), bits) for p, bits in (
+    (r"[0-9]+", 2.6), (r"[A-Z]?[a-z]+|[A-Z]+", 1.25), (r"[a-z0-9]+|[A-Z0-9]+", 0.8), (r"(?:[A-Z]?[a-z]{2,}|[A-Z]{2,}|[0-9]+)*", 0.0)))
+SLASH_BITS, PATH_BITS = 3.0, 10.0  # of one more slash; from which neighbouring segments are a path
+URL_REACH = 2048
+_VALUES = re.compile(r"=+(?=[^=]{20})")  # a shorter value holds no window of its own and stays with its name
+_TOKEN = re.compile(r"(?=.*[0-9])(?=.*[A-Za-z])[A-Za-z0-9+=]{12,}")
+_HEX_RUNS = tuple(re.compile(f"[{chars}]{{20,}}") for chars in ("0-9a-f", "0-9A-F"))
+_URL = re.compile(rb"://[^\s?#\"'<>]*$")
+_HOST, _HOST_END = re.compile(rb"[A-Za-z0-9-]\.$"), re.compile(r"[a-z]{2,10}/")
 
 
 @dataclass(frozen=True)
@@ -87,10 +100,87 @@ def windows_above(text: str, bits: float, window: int = WINDOW) -> list[tuple[in
     return [(a, b) for a, b in spans]
 
 
+def merged(spans: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """Spans with those of one kind that overlap or touch made one."""
+    out: dict[str, list[list[int]]] = {}
+    for kind, a, b in sorted(spans):
+        own = out.setdefault(kind, [])
+        if own and a <= own[-1][1]:
+            own[-1][1] = max(own[-1][1], b)
+        else:
+            own.append([a, b])
+    return [(kind, a, b) for kind, own in out.items() for a, b in own]
+
+
+def class_spans(text: str) -> list[tuple[str, int, int]]:
+    """Spans of the windows of a candidate, each judged by the first class that has all its characters."""
+    hexes = sorted(m.span() for p in _HEX_RUNS for m in p.finditer(text))
+    spans = [(CLASSES[0].kind, a + s, a + e) for a, b in hexes for s, e in windows_above(text[a:b], CLASSES[0].bits)]
+    at = 0
+    for a, b in [*hexes, (len(text), len(text))]:
+        # Windows that lie in no run of hex digits: they start before this run and end after the last one.
+        until = min(len(text), a + WINDOW - 1)
+        spans += [(CLASSES[2].kind, at + s, at + e) for s, e in windows_above(text[at:until], CLASSES[2].bits)]
+        at = max(at, b - WINDOW + 1)
+    return merged(spans)
+
+
+def candidates(run: str, in_url: bool) -> Iterator[tuple[int, str]]:
+    """Offset and text of the parts of a run that are judged alone: it is cut at ``=`` before a value and at path slashes.
+
+    All slashes in a URL are cuts. Elsewhere a chain of segments that paths have is cut off if random base64 is
+    unlikely to have it. What has one or two slashes and only parts
+    too short for a window is judged as a whole if one of them may be a token.
+    """
+    bounds = [(0, 0), *(m.span() for m in _VALUES.finditer(run)), (len(run), len(run))]
+    for (_, start), (end, _) in zip(bounds, bounds[1:]):
+        value = run[start:end]
+        parts = list(_path_parts(value, in_url)) if "/" in value else [(0, value)]
+        if value.count("/") < 3 and all(len(part) < WINDOW for _, part in parts) and any(_TOKEN.fullmatch(part) for _, part in parts):
+            parts = [(0, value)]
+        yield from ((start + at, part) for at, part in parts)
+
+
+def _path_parts(value: str, in_url: bool) -> Iterator[tuple[int, str]]:
+    segments = value.split("/")
+    cut = [in_url] * len(segments)
+    chain, total = [], 0.0
+    for k, segment in enumerate([*segments, None]):
+        bits = None if segment is None else _path_bits(segment)
+        if bits is not None:
+            chain.append(k)
+            total += bits + SLASH_BITS
+            continue
+        if total >= PATH_BITS:
+            for c in chain:
+                cut[c] = True
+        chain, total = [], 0.0
+    at = first = 0
+    part: list[str] = []
+    for segment, alone in zip(segments, cut):
+        if alone and part:
+            yield first, "/".join(part)
+            part = []
+        if alone:
+            yield at, segment
+        else:
+            first = first if part else at
+            part.append(segment)
+        at += len(segment) + 1
+    if part:
+        yield first, "/".join(part)
+
+
+def _path_bits(segment: str) -> float | None:
+    """By how much likelier a path has this segment than random base64; None if paths do not have it."""
+    if "-" in segment or "_" in segment:
+        return PATH_BITS
+    return next((bits * len(segment) for p, bits in SEGMENTS if p.fullmatch(segment)), None)
+
+
 class Scanner:
     def __init__(self, allowed: Sequence[str]) -> None:
         self.allowed = [re.compile(p) for p in allowed]
-        self.members = [(c, set(c.members)) for c in CLASSES]
 
     def runs(self, texts: list[bytes], member: np.ndarray, least: int, need_digit: bool) -> list[list[tuple[int, int]]]:
         """Per text, the byte ranges of runs of ``member`` bytes of at least ``least`` bytes."""
@@ -105,13 +195,15 @@ class Scanner:
                 out[k].append((a - int(first[k]), b - int(first[k])))
         return out
 
-    def entropy(self, found: str) -> list[tuple[str, int, int]]:
-        """Spans of one candidate, of the first class that has all its characters."""
-        if any(p.fullmatch(found) for p in self.allowed):
-            return []
-        chars = set(found)
-        c = next(c for c, members in self.members if chars <= members)
-        return [(c.kind, a, b) for a, b in windows_above(found, c.bits)]
+    def entropy(self, raw: bytes, a: int, b: int) -> list[tuple[str, int, int]]:
+        """Spans of one run, each candidate in it judged by itself."""
+        run, in_url = raw[a:b].decode(), False
+        if "/" in run:
+            before = raw[max(0, a - URL_REACH):a] + b"//" * run.startswith("//")
+            in_url = bool(_URL.search(before) or _HOST_END.match(run) and _HOST.search(before))
+        return [(kind, a + at + s, a + at + e) for at, found in candidates(run, in_url)
+                if len(found) >= WINDOW and not any(p.fullmatch(found.rstrip("=")) for p in self.allowed)
+                for kind, s, e in class_spans(found)]
 
     def scan(self, texts: list[bytes]) -> list[list[tuple[int, int, int]]]:
         """Per text: (start, kind's index, end) in code points, sorted."""
@@ -124,7 +216,7 @@ class Scanner:
                 spans += [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[1]) >= ASSIGN_VALUE]
                 spans += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if len(m[0]) >= ACCESS_LENGTH]
             found = [(a, 2, b) for a, b in hex_runs]
-            found += [(a + s, KINDS.index(kind), a + e) for a, b in key_runs for kind, s, e in self.entropy(raw[a:b].decode())]
+            found += [(s, KINDS.index(kind), e) for a, b in key_runs for kind, s, e in self.entropy(raw, a, b)]
             if found and not raw.isascii():
                 found.sort()
                 at = points = 0

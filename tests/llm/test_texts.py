@@ -1,5 +1,7 @@
+import base64
 import hashlib
 import random
+from collections import defaultdict
 
 import cases
 import numpy as np
@@ -10,7 +12,7 @@ from lacuna.llm import bpe
 from lacuna.llm.decontaminate import find_contaminated, remove_spans
 from lacuna.llm.html_extract import extract_main_text, main_text
 from lacuna.llm.quality import features, keep_quality, score_quality, train
-from lacuna.llm.secrets import find_secrets, windows_above
+from lacuna.llm.secrets import ALLOWED, CLASSES, Scanner, class_spans, find_secrets, windows_above
 from lacuna.llm.token_counts import PieceCounter, count_tokens
 from lacuna.llm.url_filter import Automaton, Rule, filter_urls, host_rule
 from lacuna.llm.queries import URL_RULES
@@ -151,6 +153,50 @@ def test_secrets(spark):
     assert find_secrets(cases.frame(spark, [])).collect() == []
 
 
+def test_secrets_in_runs(spark):
+    base64_key = "k3Zr/Q9xT+b7LmYw/2VcHs8NdPfG/u5JaKe1RoXtB/i6WqSzDy4M0vEhCnFgUlOpAj7T3kR9cZ+5XbN1w8Q2sL=="
+    path_key, hexes = "zX8kQ2vR7tLp0WmNs4YbQ9aE", "9F3B7A1C08D2E45F6A7B0C9D8E1F2A34"
+    cases_ = [  # text, kind, secret
+        (f"key {base64_key} end", "entropy_mixed", base64_key),
+        (f"AWS={base64_key[:40]}", "entropy_mixed", base64_key[:40]),
+        (f"é https://hooks.example.com/services/T02ABCDEF/B03GHIJKL/{path_key}", "entropy_mixed", path_key),
+        (f"https://localhost/{path_key}/info", "entropy_mixed", path_key), (f"api/v1/{path_key}", "entropy_mixed", path_key),
+        ("HMAC=" + hexes, "entropy_hex", hexes), ("xyz-" + hexes.lower(), "entropy_hex", hexes.lower())]
+    rows = [(k, t) for k, (t, _, _) in enumerate(cases_)]
+    got = {r.doc_id: r.spans.split(",") for r in find_secrets(cases.frame(spark, rows)).collect()}
+    for k, (text, kind, secret) in enumerate(cases_):
+        a = text.index(secret)
+        spans = [s for s in got[k] if s.startswith("entropy_")]
+        if kind == "entropy_hex" and "=" not in text:  # windows with the name in them are of another class
+            spans = [s for s in spans if s.startswith(kind)]
+        assert spans == [f"{kind}:{a}:{a + len(secret)}"], (text, got[k])
+    # A value too short for a window keeps those that begin in its name.
+    short = "password=7602ad27cf5550de"
+    assert windows_above(short, 3.75) and class_spans(short) == [("entropy_mixed", a, b) for a, b in windows_above(short, 3.75)]
+    assert [x[1] for x in Scanner(ALLOWED).scan([short.encode()])[0]] == [0, 4]
+    plain = ["usr/lib/x86_64-linux-gnu/python3.13/site-packages/module2", "api/v1/123e4567-e89b-12d3-a456-426614174000/x",
+             "id=123e4567-e89b-12d3-a456-426614174000", "some-post-title-of-2024-part-2"]
+    assert all(not r.n_entropy for r in find_secrets(cases.frame(spark, list(enumerate(plain)))).collect())
+
+
+def test_secrets_random_keys():
+    rng, scanner = random.Random(6), Scanner(ALLOWED)
+    for n in (30, 66, 258, 1200):
+        keys = [base64.b64encode(rng.randbytes(n)) for _ in range(100)]
+        assert sum(bool(f) for f in scanner.scan(keys)) >= 99, n
+    # Each window has the first class that holds it, as brute force finds.
+    for _ in range(100):
+        text = "".join(rng.choice(("0123456789abcdef", "0123456789ABCDEF", "ghXYZ19")[rng.random() > 0.8 and rng.randint(0, 2)]) for _ in range(90))
+        want = defaultdict(set)
+        for k in range(len(text) - 19):
+            part = text[k:k + 20]
+            kind, bits = next((c.kind, c.bits) for c in CLASSES if set(part) <= set(c.members))
+            if windows_above(part, bits):
+                want[kind] |= set(range(k, k + 20))
+        spans = class_spans(text)
+        assert {kind: {i for k, a, b in spans if k == kind for i in range(a, b)} for kind, _, _ in spans} == want
+
+
 def test_entropy_window():
     def plain(text, bits, w=20):
         hit = set()
