@@ -4,7 +4,8 @@ Each block of text (paragraph, heading, list item, ...) has points for its lengt
 parent in full and to the ancestors above at falling shares; an element's score is what it received, discounted by
 the share of its text that stands in links. The best element is the container; siblings whose score comes close, or
 that are long paragraphs with few links, are kept with it. Elements that by their tag, class or id are menus,
-headers, footers, sidebars, notices, adverts, forms, scripts, styles or reader comments take no part.
+headers, footers, sidebars, notices, adverts, forms, scripts, styles or reader comments take no part, unless the page's
+prose is in them: see ``rescue``.
 """
 
 from __future__ import annotations
@@ -41,8 +42,15 @@ _WORDS = ("ads?|advert[^\\W_]*|adsense|sponsor[^\\W_]*|promo[^\\W_]*|banner|comm
           "navigation|breadcrumbs?|header|masthead|footer|foot|cookies?|notices?|consent|gdpr|popup|modal|newsletter|subscribe|"
           "shar(?:e|ing)|social|related|recommend[^\\W_]*|widget|login|signup|form|toolbar|pager|pagination")
 _PARTS = "list|section|area|box|wrap|wrapper|container|block|inner|content|body|text|items?|links?|group|row|slot|unit|bar|left|right|top|bottom|\\d+"
-_NEGATIVE = re.compile(rf"(?!(?:has|with|no|without)[-_])(?:[^\W_]+[-_]+)*?(?:{_WORDS})(?:[-_](?:{_PARTS}))*", re.I)
-_COMMENT = re.compile(r"(?:[^\W_]+[-_]+)*?(?:comments?|reply|replies|response)(?:[-_]+[^\W_]+)*", re.I)
+_BEFORE = r"(?:(?!(?:has|with|no|without)[-_])[^\W_]+[-_]+)*?"
+_NEGATIVE = re.compile(rf"{_BEFORE}(?P<word>{_WORDS})(?:[-_](?:{_PARTS}))*", re.I)
+_COMMENT = re.compile(rf"{_BEFORE}(?P<word>comments?|reply|replies|response)(?:[-_]+[^\W_]+)*", re.I)
+#: What never is an article: what cannot hold one, and what holds one only if it has a heading or element of its own for it.
+_EMPTY = RAW | frozenset("head button select option canvas object audio video map label".split())
+_APART = re.compile(r"nav|menu|navbar|navigation|breadcrumbs?|ads?|advert.*|adsense|sponsor.*|promo.*|comments?|reply|replies|response|respond|"
+                    r"discuss.*|disqus|cookies?|consent|gdpr|notices?|newsletter|subscribe|login|signup|alert|search|dialog", re.I)
+_WRAPPERS = frozenset(("form", "fieldset", "widget"))  # elements put around anything
+LEAST_PROSE, LITTLE_PROSE, MUCH_PROSE = 2.0, 4.0, 4  # points of a text to rescue, of little text, and how much more is much
 _ROLE = frozenset(("navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "form", "menu"))
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|$)", re.S)
@@ -52,33 +60,37 @@ _STRONG = frozenset(("article", "main"))
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "dropped", "score", "chars", "linked", "depth")
+    __slots__ = ("tag", "parent", "children", "why", "dropped", "score", "chars", "linked", "depth")
 
-    def __init__(self, tag: str, parent: Node | None, dropped: bool) -> None:
-        self.tag, self.parent, self.dropped = tag, parent, dropped
+    def __init__(self, tag: str, parent: Node | None, why: frozenset[str]) -> None:
+        self.tag, self.parent, self.why = tag, parent, why
+        self.dropped = bool(why)  # with all that is below it
         self.children: list[Node | str] = []
         self.score, self.chars, self.linked = 0.0, 0, 0
         self.depth = 0 if parent is None else parent.depth + 1
 
 
-def _unwanted(tag: str, attributes: str) -> bool:
-    if tag in DROPPED:
-        return True
-    if not attributes or tag in ("html", "body"):
-        return False
+def _unwanted(tag: str, attributes: str) -> frozenset[str]:
+    """What tells that an element is unwanted: its tag, role or words of its class and id; empty for others."""
+    why = {tag} if tag in DROPPED else set()
+    if tag in _EMPTY or not attributes or tag in ("html", "body"):
+        return frozenset(why)
     negative = _COMMENT if tag in _STRONG else _NEGATIVE
     for name, *values in _ATTRIBUTE.findall(attributes):
         value = "".join(values).strip()
         name = name.lower()
-        if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "role" and value.lower() in _ROLE \
-                or name in ("class", "id") and any(negative.fullmatch(word) for word in value.split()):
-            return True
-    return False
+        if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
+            why.add("hidden")
+        elif name == "role" and value.lower() in _ROLE:
+            why.add(value.lower())
+        elif name in ("class", "id"):
+            why.update(m["word"].lower() for word in value.split() if (m := negative.fullmatch(word)))
+    return frozenset(why)
 
 
 def parse(html: str) -> Node:
     """Element tree of a page, however badly it nests; text stays undecoded."""
-    root = Node("html", None, False)
+    root = Node("html", None, frozenset())
     top, at, end = root, 0, len(html)
 
     def close_to(node: Node, tags: frozenset | set, stops: frozenset | set) -> Node:
@@ -126,7 +138,7 @@ def parse(html: str) -> Node:
             tags, stops = IMPLIED[tag]
             while (up := close_to(top, tags, stops)) is not top:
                 top = up
-        node = Node(tag, top, top.dropped or _unwanted(tag, m[3] or ""))
+        node = Node(tag, top, _unwanted(tag, m[3] or ""))
         top.children.append(node)
         if tag in RAW:
             stop = re.compile(rf"</{re.escape(tag)}[^>]*>?", re.I).search(html, at)
@@ -170,6 +182,57 @@ def blocks_of(node: Node) -> list[str]:
     return out
 
 
+def _points(chars: int, commas: int) -> float:
+    return min(chars / 100, 30.0) + commas + (1.0 if chars >= 25 else 0.0)
+
+
+def rescue(root: Node) -> None:
+    """Keep unwanted-looking elements that hold the article.
+
+    Elements of the same looks are judged together, outermost first, by the points of the unlinked prose in them. Forms and
+    widgets are kept if they hold more of it than is left outside of all unwanted elements; others if little is left
+    there, and much more is in them; menus, notices, adverts and reader comments also need an article of their own in them.
+    """
+    while True:
+        outside = 0.0
+        held: dict[frozenset[str], list] = {}  # points, and whether an article or a first heading is in them
+        stack: list[tuple[Node, Node | None]] = [(root, None)]
+        while stack:
+            n, top = stack.pop()
+            if n.tag in _EMPTY or n.tag == "a":
+                continue
+            if n.dropped:
+                if top is None:
+                    top = n
+                    held.setdefault(n.why, [0.0, False])
+                elif any(_APART.fullmatch(w) for w in n.why):
+                    continue
+            if top is not None and (n.tag in ("h1", "main") or n.tag == "article" and not n.why):
+                held[top.why][1] = True
+            texts = [c for c in n.children if isinstance(c, str)]
+            chars = sum(len(t.strip()) for t in texts)
+            if chars >= 25:
+                points = _points(chars, sum(t.count(",") for t in texts))
+                if top is None:
+                    outside += points
+                else:
+                    held[top.why][0] += points
+            stack += [(c, top) for c in n.children if not isinstance(c, str)]
+        for why, (points, article) in sorted(held.items(), key=lambda x: (-x[1][0], sorted(x[0]))):
+            wrapper = why <= _WRAPPERS
+            much = points > outside if wrapper else outside < LITTLE_PROSE and points > MUCH_PROSE * outside
+            if points >= LEAST_PROSE and much and (article or not any(_APART.fullmatch(w) for w in why)):
+                break
+        else:
+            return
+        nodes = [root]
+        while nodes:
+            n = nodes.pop()
+            if n.why == why:
+                n.dropped = False
+            nodes += [c for c in n.children if not isinstance(c, str)]
+
+
 def score(root: Node) -> list[Node]:
     """Give points to every wanted element, children before parents; returns them in page order."""
     order, stack = [], [(root, False)]
@@ -186,7 +249,7 @@ def score(root: Node) -> list[Node]:
             elif not child.dropped:
                 stack.append((child, linked or child.tag == "a"))
         n.chars, n.linked = own, own if linked else 0
-        points = 0.0 if linked or not own else min(own / 100, 30.0) + commas + (1.0 if own >= 25 else 0.0)
+        points = 0.0 if linked or not own else _points(own, commas)
         # Inline elements hand their text's points to the block around them.
         holder = n
         while holder.parent is not None and holder.tag not in BLOCK:
@@ -212,8 +275,7 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     root = parse(html)
-    if root.dropped:
-        return ""
+    rescue(root)
     order = score(root)
     best = max(order, key=lambda n: n.score)
     if best.parent is None or best.tag in ("body", "html") or best.score <= 0:

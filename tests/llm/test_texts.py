@@ -97,6 +97,28 @@ def test_main_text_classes():
     assert main_text("<article><p>The one, and, only.</p></article><article><p>Next, please.</p></article>") == "The one, and, only."
 
 
+def test_main_text_wrapped():
+    prose = [f"Paragraph {k} of the story, told at length, with commas, and with more words than any notice has." for k in range(6)]
+    article = "<h1>Title</h1>" + "".join(f"<p>{p}</p>" for p in prose)
+    whole = ["Title", *prose]
+    for start, end in (("<form id=aspnetForm>", "</form>"), ("<form><div class=widget>", "</div></form>"),
+                       ('<div class="elementor-widget elementor-widget-text"><div class="elementor-widget-container">', "</div></div>"),
+                       ('<div class="page-with-sidebar">', "</div>"), ('<div class="layout-no-sidebar">', "</div>"),
+                       ('<div class="content-with-sidebar">', "</div>"), ('<div role=dialog><div class="modal-body">', "</div></div>"),
+                       ("<aside>", "</aside>"), ('<div id=promo>', "</div>"), ('<article class="post no-comments">', "</article>")):
+        page = (f"<body><div class=menu><p>Menu, home</p></div>{start}<div class=ad>Buy, buy, buy, now, and, then</div><nav>Go, on, to</nav>{article}"
+                f"<section class=comments><p>A reader says: nice, good, great, long comment.</p></section>{end}<div>Left over</div></body>")
+        assert main_text(page).split("\n\n")[:7] == whole, start
+        assert "Buy" not in main_text(page) and "reader" not in main_text(page) and "Menu" not in main_text(page) and "Go" not in main_text(page)
+    # An article in pieces, each in a widget of its own.
+    page = "<body><div>" + "".join(f"<div class=elementor-widget><div class=elementor-widget-container><p>{p}</p></div></div>" for p in prose)
+    assert main_text(page + "</div><p>Short, end.</p></body>").count("Paragraph") >= 1
+    # Longer than the article, but none: comments, consent, sidebars.
+    for unwanted in ("section class=comments", "div class=cookie-notice", "div role=dialog class=consent", "div class=sidebar", "footer", "div class=ad"):
+        page = f"<body><div><p>{prose[0]}</p></div><{unwanted}>{article.replace('<h1>Title</h1>', '')}</{unwanted.split()[0]}></body>"
+        assert main_text(page) == prose[0], unwanted
+
+
 def test_extract_rows(spark):
     rows = [(1, "u", PAGE), (1, "u", PAGE), (2, None, None), (None, "v", "<article><p>a"), (3, "w", "")]
     df = extract_main_text(cases.frame(spark, rows, ("page_id", "url", "html"), ("bigint", "string", "string")))
