@@ -2,8 +2,9 @@
 
 Each block of text (paragraph, heading, list item, ...) has points for its length and commas. The points go to its
 parent in full and to the ancestors above at falling shares; an element's score is what it received, discounted by
-the share of its text that stands in links. The best element is the container; siblings whose score comes close, or
-that are long paragraphs with few links, are kept with it. Elements that by their tag, class or id are menus,
+the share of its text that stands in links. The container is the article or main element around the best element, or else
+what is around it up to the last level with more of the article; beside the best element, headings and bare text
+included, only what consists of links is left out. Elements that by their tag, class or id are menus,
 headers, footers, sidebars, notices, adverts, forms, scripts, styles or reader comments take no part, unless the page's
 prose is in them: see ``rescue``.
 """
@@ -57,6 +58,8 @@ _LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|$)", re.S)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 _SPACE = re.compile(r"\s+")
 _STRONG = frozenset(("article", "main"))
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+LINKS = 0.5  # share of linked text from which something consists of links
 
 
 class Node:
@@ -280,17 +283,66 @@ def main_text(html: str | None) -> str:
     best = max(order, key=lambda n: n.score)
     if best.parent is None or best.tag in ("body", "html") or best.score <= 0:
         return "\n\n".join(blocks_of(best))
-    out: list[str] = []
+    return "\n\n".join(blocks_of(container(best)))
+
+
+def units(node: Node) -> list[list[Node | str]]:
+    """An element's wanted children: blocks alone, inline elements and bare text between two blocks together."""
+    out: list[list[Node | str]] = []
+    run: list[Node | str] | None = None
+    for child in node.children:
+        if isinstance(child, str) or child.tag not in BLOCK and not child.dropped:
+            if run is None:
+                out.append(run := [])
+            run.append(child)
+        elif not child.dropped:
+            out.append([child])
+            run = None
+    return out
+
+
+def _chars(unit: list[Node | str]) -> int:
+    return sum(len(c.strip()) if isinstance(c, str) else c.chars for c in unit)
+
+
+def _is_links(unit: list[Node | str]) -> bool:
+    return sum(c.linked for c in unit if isinstance(c, Node)) >= LINKS * max(1, _chars(unit))
+
+
+def container(best: Node) -> Node:
+    """The element that holds the article's parts, without children beside the best element that consist of links.
+
+    The article or main element around the best one is complete. Otherwise it is the first element around it with any other
+    text than links, or one further up as long as a score there comes close, or a paragraph is long.
+    """
+    path = [best]
+    while path[-1].parent is not None:
+        path.append(path[-1].parent)
     bar = max(5.0, best.score * 0.2)
-    for n in best.parent.children:
-        if isinstance(n, str) or n.dropped:
-            continue
-        density = n.linked / n.chars if n.chars else 0.0
-        # An article or main element is complete; other containers may be one part of several.
-        near = best.tag not in _STRONG and (n.score >= bar or n.tag == "p" and n.chars > 80 and density < 0.25)
-        if n is best or near:
-            out += blocks_of(n)
-    return "\n\n".join(out)
+    parts = {k: units(n) for k, n in enumerate(path) if k}
+
+    def near(unit: list[Node | str]) -> bool:
+        n = unit[0]
+        return isinstance(n, Node) and (n.score >= bar or n.tag == "p" and n.chars > 80 and n.linked < 0.25 * n.chars)
+
+    last = next((k for k, n in enumerate(path) if n.tag in _STRONG), None)
+    if last is None:
+        last = 0
+        for k in range(1, len(path)):
+            beside = [u for u in parts[k] if path[k - 1] not in u and _chars(u)]
+            if any(near(u) for u in beside) or not last and not all(map(_is_links, beside)):
+                last = k
+    for k in range(1, last + 1):
+        kept: list[list[Node | str]] = []
+        after = False  # whether what follows is kept
+        for u in reversed(parts[k]):
+            if _chars(u) or path[k - 1] in u:
+                heading = isinstance(u[0], Node) and u[0].tag in _HEADINGS
+                after = path[k - 1] in u or near(u) or not _is_links(u) or heading and after
+            if after:
+                kept.append(u)
+        path[k].children = [c for u in reversed(kept) for c in u]
+    return path[last]
 
 
 def extract_main_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", keep: tuple[str, ...] = ("url",)) -> DataFrame:

@@ -119,6 +119,25 @@ def test_main_text_wrapped():
         assert main_text(page) == prose[0], unwanted
 
 
+def test_main_text_parts():
+    long = "<p>" + "A long paragraph, told at length, with commas, and more words, and on. " * 8 + "</p>"
+    short = "<p>" + "Of no commas and few words but of the article all the same. " * 2 + "</p>"
+    first, rest = f"<section>{long * 3}</section>", f"<section>{short}</section>"
+    links = "<ul><li><a href=a>Other page of the site</a><li><a href=b>One more page, of, the, site</a></ul>"
+    text = main_text(f"<body><div><h1>Title</h1>Bare text<b>!</b>{first}<h2>Next <a href=x>part</a></h2>{rest}<p>Short.<ul><li>One<li>Two</ul>"
+                     f"<h2><a href=y>Linked</a></h2><p>Tail.</p>{links}</div></body>").split("\n\n")
+    assert text[:2] == ["Title", "Bare text!"] and text[5] == "Next part" and "all the same" in text[6]
+    assert text[7:] == ["Short.", "One", "Two", "Linked", "Tail."]
+    # Bare text keeps the links in it; links alone are left out.
+    text = main_text(f"<body><div>{first}See <a href=x>this page</a> for what came of it.{links}</div>")
+    assert text.endswith("See this page for what came of it.") and "Other page" not in text
+    # Each part in wrappers of its own, and a section that outweighs the article around it.
+    rows = "".join(f"<div><div>{x}</div></div>" for x in (first, rest, "<p>Short.</p>"))
+    for page in (f"<body><div>{rows}</div>", f"<body><article><h1>T</h1>{rows}</article>", f"<body><main>{first * 3}<div>{rest}</div>Short.</main>"):
+        text = main_text(page)
+        assert "all the same" in text and text.endswith("Short."), page[:30]
+
+
 def test_extract_rows(spark):
     rows = [(1, "u", PAGE), (1, "u", PAGE), (2, None, None), (None, "v", "<article><p>a"), (3, "w", "")]
     df = extract_main_text(cases.frame(spark, rows, ("page_id", "url", "html"), ("bigint", "string", "string")))
