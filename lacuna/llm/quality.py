@@ -5,7 +5,7 @@ kinds of characters a word has, and whether it repeats the word before it). Each
 ratio between the classes; the hinge loss is minimised by dual coordinate descent.
 
 Class counts cover all labelled training rows, each task sums its own and only bucket sums are shuffled. The support
-vectors come from at most ``sample`` training rows (those of smallest hash), fitted in one task. The model is two arrays of
+vectors come from at most ``sample`` training rows (those of smallest hash of each class), fitted in one task. The model is two arrays of
 ``BUCKETS`` numbers, whatever the corpus size.
 """
 
@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lacuna.functions.columns import ref
+from lacuna.functions.durable import durable
 from lacuna.llm.tables import checked
 from lacuna.llm.text import NOT_WHITE, chunks, column_bytes, hash_ranges, join_texts, mix, slices, word_ranges
 
@@ -152,14 +153,24 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     """Fit on the labelled rows that are not held out; a plain number if they have no or only one label.
 
     Labels other than 0 and 1 and NULL ids are ignored; a repeated id counts as often as it is labelled. ``sample``
-    bounds the rows that the support vectors come from; the class counts use all.
+    bounds the rows that the support vectors come from; the class counts use all. They are drawn from the rows of
+    ``documents`` that are labelled, half from each class, or more from one if the other has fewer.
     """
     known = labels.where(ref(label_col).isin(0, 1) & ref(id_col).isNotNull()).where(~held_out(id_col)).select(
         ref(id_col).alias("id"), ref(label_col).cast("int").alias("label"), F.xxhash64(ref(id_col), F.lit(5)).alias("draw"))
-    last = known.select("draw").orderBy("draw").limit(sample).agg(F.max("draw")).first()[0]
-    if last is None:
-        return 0.5
-    marked = known.withColumn("sampled", F.col("draw") <= last).drop("draw")
+    drawn = durable(documents.select(ref(id_col).alias("id")).join(checked(known, LABELS_BROADCAST), "id").select("label", "draw"))
+    count = {r["label"]: r["count"] for r in drawn.groupBy("label").count().collect()}
+    if len(count) < 2:
+        return float(next(iter(count), 0.5))
+    sampled = F.lit(False)
+    for label, other in ((0, 1), (1, 0)):
+        share = max(1, sample // 2, sample - count[other])
+        if count[label] > share:
+            last = drawn.where(F.col("label") == label).select("draw").orderBy("draw").limit(share).agg(F.max("draw")).first()[0]
+            sampled |= (F.col("label") == label) & (F.col("draw") <= last)
+        else:
+            sampled |= F.col("label") == label
+    marked = known.withColumn("sampled", sampled).drop("draw")
     rows = documents.select(ref(id_col).alias("id"), ref(text_col).alias("text")).join(checked(marked, LABELS_BROADCAST), "id").select(
         "label", "sampled", "text")
 
@@ -214,9 +225,8 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
                     y.append(label)
         # The rows arrive in any order; the fit must not depend on it.
         order = sorted(range(len(y)), key=lambda i: (y[i], len(found[i]), found[i].tobytes()))
-        both = 0 < sum(y) < len(y)
-        model = fit(counts.reshape(2, -1), [found[i] for i in order], np.array([y[i] for i in order])) if both else None
-        numbers = np.concatenate((model.weights, [model.slope, model.offset])) if both else np.array([float(sum(y) > 0) if y else 0.5])
+        model = fit(counts.reshape(2, -1), [found[i] for i in order], np.array([y[i] for i in order]))
+        numbers = np.concatenate((model.weights, [model.slope, model.offset]))
         yield pa.RecordBatch.from_arrays([pa.array([numbers.astype("<f8").tobytes()], pa.binary())], names=["model"])
 
     # The piece keys bound the groups: PIECES per class, and the sampled rows, at most ``sample``, one group per class.
@@ -224,7 +234,7 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
         add, "piece int, label int, body binary")
     body = summed.coalesce(1).mapInArrow(solve, "model binary").first()[0]
     numbers = np.frombuffer(body, "<f8")
-    return Model(numbers[:-2].copy(), float(numbers[-2]), float(numbers[-1])) if len(numbers) > 1 else float(numbers[0])
+    return Model(numbers[:-2].copy(), float(numbers[-2]), float(numbers[-1]))
 
 
 def score_quality(documents: DataFrame, model: Model | float, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -308,6 +308,19 @@ def test_quality(spark):
     assert train(docs, marks).weights.tolist() == model.weights.tolist()
 
 
+def test_quality_sample(spark):
+    """A rare class, and labels of ids that no document has, leave rows of both classes to fit."""
+    rows = [(k, cases.prose(k, 30)) for k in range(300)] + [(k, "### !!! %%% " * 10) for k in range(300, 306)]
+    labels = [(i, int(i < 300)) for i, _ in rows] + [(i, i % 2) for i in range(1000, 4000)]
+    docs = cases.frame(spark, rows)
+    model = train(docs, cases.frame(spark, labels, ("doc_id", "quality"), ("bigint", "int")), sample=8)
+    assert not isinstance(model, float)
+    got = {r.doc_id: r.predicted for r in score_quality(docs, model).collect()}
+    assert all(got[i] == 0 for i in range(300, 306)) and sum(got[i] for i in range(300)) > 285
+    strange = cases.frame(spark, labels[306:], ("doc_id", "quality"), ("bigint", "int"))
+    assert train(docs, strange) == 0.5
+
+
 def test_features_are_indicators():
     once, twice, none = features([b"a b", b"a b a b", b""])
     assert len(set(twice.tolist())) == len(twice) and set(once[:2].tolist()) <= set(twice.tolist()) and len(none) == 0
