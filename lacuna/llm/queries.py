@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from lacuna.llm.bpe import round_trip
+from lacuna.llm.conversations import repair_damaged
 from lacuna.llm.decontaminate import find_contaminated
 from lacuna.llm.exact_dedup import exact_dedup
 from lacuna.llm.html_extract import extract_main_text
@@ -68,8 +69,13 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_repeats(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_damaged(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filter, op2_html_extract, op3_exact_dedup, op4_ngram_join, op5_quality, op6_decontaminate, op7_token_counts, op8_secrets, op9_bpe, op10_suffix_dedup)
+    f.__name__: f for f in (op1_url_filter, op2_html_extract, op3_exact_dedup, op4_ngram_join, op5_quality, op6_decontaminate, op7_token_counts,
+                            op8_secrets, op9_bpe, op10_suffix_dedup, op11_conversation_repair)
 }
 
 ORACLE: dict[str, str] = {
@@ -127,4 +133,61 @@ found AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM low LEFT JOIN words_ USING (doc_id) LEFT JOIN found USING (doc_id)""",
+    "op11_conversation_repair": r"""
+WITH RECURSIVE
+bytes_ AS (SELECT list(v ORDER BY i) AS t FROM (
+  SELECT i, list_reduce([i::BIGINT] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+  FROM range(256) AS r(i))),
+named AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(
+               concat(coalesce(conv_id::VARCHAR, ' '), ':', coalesce(turn::VARCHAR, ' ')), ''), lambda x: ascii(x)::BIGINT),
+             lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS kind
+  FROM conversations, bytes_),
+damaged AS (
+  SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM (SELECT *, unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM named)),
+ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i, left(role, 1) AS initial,
+         right(rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS last_
+  FROM damaged),
+marked AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS seen FROM ordered),
+flagged AS (
+  SELECT *, last_ = '' AS blank, seen AND last_ <> '' AS dup, NOT seen AND last_ NOT IN ('', '.', '!', '?') AS cut,
+         i > 1 AND lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial NOT IN ('su', 'ua', 'au') AS illegal
+  FROM marked),
+convs AS (SELECT DISTINCT conv_id FROM conversations),
+stats AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(blank) AS blank,
+         count_if(dup) AS duplicate, count_if(cut) AS truncated, count_if(illegal) AS illegal
+  FROM flagged GROUP BY conv_id),
+due(s, t, role) AS (VALUES (0, 2, 'user'), (1, 2, 'user'), (2, 3, 'assistant'), (3, 2, 'user')),
+inserts AS (
+  SELECT s, s AS t, 0 AS cost, '' AS audit, '' AS added FROM due
+  UNION ALL SELECT s, t, 2, 'I', chr(10) || role || ':' FROM due
+  UNION ALL SELECT a.s, b.t, 4, 'II', chr(10) || a.role || ':' || chr(10) || b.role || ':' FROM due a JOIN due b ON a.t = b.s),
+keeps(initial, s, t) AS (VALUES ('s', 0, 1), ('u', 0, 2), ('u', 1, 2), ('u', 3, 2), ('a', 2, 3)),
+dp AS (
+  SELECT conv_id, 0::BIGINT AS i, 0 AS s, {'cost': 0::BIGINT, 'audit': ''} AS w, '' AS made FROM convs
+  UNION ALL
+  SELECT conv_id, i, s, min(w), arg_min(made, w) FROM (
+    SELECT d.conv_id, f.i, e.t AS s, {'cost': d.w.cost + n.cost + e.cost + CASE WHEN e.letter <> 'D' AND f.cut THEN 1 ELSE 0 END,
+                                      'audit': d.w.audit || n.audit || e.letter} AS w,
+           d.made || n.added || CASE e.letter WHEN 'D' THEN '' WHEN 'K' THEN chr(10) || f.role || ':' || f.text
+                                ELSE chr(10) || e.role || ':' || f.text END AS made
+    FROM dp d JOIN flagged f ON f.conv_id IS NOT DISTINCT FROM d.conv_id AND f.i = d.i + 1 JOIN inserts n ON n.s = d.s
+    JOIN (SELECT 'D' AS letter, NULL AS initial, s, s AS t, 3 AS cost, NULL AS role FROM due
+          UNION ALL SELECT 'R', NULL, s, t, 2, role FROM due UNION ALL SELECT 'K', initial, s, t, 0, NULL FROM keeps) e
+      ON e.s = n.t AND (e.letter = 'D' OR NOT (f.blank OR f.dup)) AND (e.letter <> 'K' OR e.initial = f.initial)) AS ways
+  GROUP BY conv_id, i, s),
+closed AS (
+  SELECT d.conv_id, min({'cost': d.w.cost + n.cost, 'audit': d.w.audit || n.audit}) AS w,
+         arg_min(d.made || n.added, {'cost': d.w.cost + n.cost, 'audit': d.w.audit || n.audit}) AS made
+  FROM dp d LEFT JOIN stats t ON t.conv_id IS NOT DISTINCT FROM d.conv_id JOIN inserts n ON n.s = d.s
+  WHERE d.i = coalesce(t.n, 0) AND n.t IN (0, 3) GROUP BY d.conv_id)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, c.w.cost AS cost, c.w.audit AS audit,
+       sha256(made[2:]) AS repaired_sha256
+FROM closed c LEFT JOIN stats t ON t.conv_id IS NOT DISTINCT FROM c.conv_id""",
 }
