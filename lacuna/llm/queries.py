@@ -10,8 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from lacuna.llm.bpe import round_trip
 from lacuna.llm.conversations import repair_damaged
 from lacuna.llm.decontaminate import find_contaminated
+from lacuna.llm.divergence import source_divergence
 from lacuna.llm.exact_dedup import exact_dedup
 from lacuna.llm.html_extract import extract_main_text
+from lacuna.llm.minhash import near_duplicates
 from lacuna.llm.ngram_join import ngram_components
 from lacuna.llm.quality import score_quality, train
 from lacuna.llm.secrets import find_secrets
@@ -73,9 +75,17 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_damaged(table(spark, sf_dir, "conversations"))
 
 
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_url_filter, op2_html_extract, op3_exact_dedup, op4_ngram_join, op5_quality, op6_decontaminate, op7_token_counts,
-                            op8_secrets, op9_bpe, op10_suffix_dedup, op11_conversation_repair)
+                            op8_secrets, op9_bpe, op10_suffix_dedup, op11_conversation_repair, op12_minhash, op13_source_divergence)
 }
 
 ORACLE: dict[str, str] = {
@@ -190,4 +200,46 @@ SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coales
        coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, c.w.cost AS cost, c.w.audit AS audit,
        sha256(made[2:]) AS repaired_sha256
 FROM closed c LEFT JOIN stats t ON t.conv_id IS NOT DISTINCT FROM c.conv_id""",
+    "op12_minhash": r"""
+WITH RECURSIVE low AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+grams AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + least(len(w), 5) - 1], ' ') AS gram
+  FROM low, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS t(i) WHERE len(w) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM grams a JOIN grams b USING (gram) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM common JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y WHERE 100 * c >= 85 * (a.n + b.n - c)),
+reach AS (SELECT doc_id, doc_id AS other FROM low UNION SELECT doc_id, y FROM reach JOIN links ON other = x),
+least_ AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM least_ LEFT JOIN sizes USING (doc_id)""",
+    "op13_source_divergence": r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+words_ AS (SELECT rid, lang, source, unnest(terms) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS n FROM words_ GROUP BY lang, term HAVING count(DISTINCT rid) >= 3),
+vocab AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+counts AS (SELECT lang, source, term, count(*) AS n FROM words_ SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+totals AS (SELECT lang, source, sum(n) AS total FROM counts GROUP BY ALL),
+shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+         1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (coalesce(t.total, 0) + v.v)::HUGEINT AS p,
+         1 + (1000000000::HUGEINT * (k.n + 1)) // (v.total + v.v)::HUGEINT AS q
+  FROM groups g JOIN kept k USING (lang) JOIN vocab v USING (lang) LEFT JOIN totals t USING (lang, source)
+  LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+every AS (
+  SELECT * FROM pairs UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM shares WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM every)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 200""",
 }
