@@ -120,7 +120,9 @@ def patch(df: DataFrame, name: str, fill: Column) -> Column:
 
 
 def confident(ledger: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """Fills whose confidence reaches the threshold."""
+    """Fills whose confidence reaches the threshold; all of them for a threshold of 0."""
+    if threshold <= 0:
+        return ledger
     return ledger.where(F.col("confidence") >= threshold)
 
 

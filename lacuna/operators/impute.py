@@ -45,10 +45,11 @@ class NumericChoice:
 
 def ledger_rows(gaps: DataFrame, row_id: Column, column: str, *, num: Column | None = None,
                 text: Column | None = None, confidence: Column, method: Column, reasoning: Column,
-                run_ts: datetime) -> DataFrame:
-    """Ledger rows for the cells in ``gaps``; numbers also get their text form."""
+                run_ts: datetime, by: Sequence[str] = ()) -> DataFrame:
+    """Ledger rows for the cells in ``gaps``, behind their ``by`` columns; numbers also get their text form."""
     number = (num if num is not None else F.lit(None)).cast("double")
     return gaps.select(
+        *[ref(b) for b in by],
         row_id.alias("row_id"), F.lit(column).alias("column"), F.lit(None).cast("string").alias("original_value"),
         (number_as_text(number) if text is None else text).alias("suggested_value"),
         number.alias("suggested_num"), confidence.cast("double").alias("confidence"),

@@ -42,14 +42,18 @@ def imputation_summary(imputations: DataFrame, hours: int, now: Column) -> DataF
         F.avg("average_confidence").alias("avg_confidence"))
 
 
-def _counted(table: DataFrame, *pairs: tuple[Column, Column]) -> DataFrame:
+def _entries(table: DataFrame, *pairs: tuple[Column, Column]) -> DataFrame:
     entries = F.array(*[F.struct(name.alias("name"), value.cast("double").alias("value")) for name, value in pairs])
-    return table.select(F.inline(entries)).where(F.col("name").isNotNull() & F.col("value").isNotNull()).groupBy(
-        "name").agg(F.sum("value").alias("value"))
+    return table.select(F.inline(entries)).where(F.col("name").isNotNull() & F.col("value").isNotNull())
 
 
 def counters(performance: DataFrame, calls: DataFrame, imputations: DataFrame) -> DataFrame:
     """``name, value`` of all running counters."""
+    return counter_entries(performance, calls, imputations).groupBy("name").agg(F.sum("value").alias("value"))
+
+
+def counter_entries(performance: DataFrame, calls: DataFrame, imputations: DataFrame) -> DataFrame:
+    """What each record, of a table or a stream, adds to the counters: ``name, value``."""
     one, lit = F.lit(1), F.lit
 
     def name(*parts) -> Column:
@@ -58,16 +62,16 @@ def counters(performance: DataFrame, calls: DataFrame, imputations: DataFrame) -
     outcome = F.when(F.col("success"), "success").otherwise("error")
     paid = lambda c: F.when(F.col("success") & (F.col(c) != 0), F.col(c))
     op, provider = F.col("operation"), F.col("provider")
-    return _counted(
+    return _entries(
         performance, (name("operations.", op, ".total"), one), (name("operations.", op, ".", outcome), one),
-    ).unionByName(_counted(
+    ).unionByName(_entries(
         calls, (name("api.", provider, ".calls.total"), one), (name("api.", provider, ".calls.", F.col("model")), one),
         (name("api.", provider, ".calls.", outcome), one), (name("api.", provider, ".tokens.total"), paid("tokens_used")),
         (name("api.", provider, ".cost.total"), paid("cost")),
-    )).unionByName(_counted(
+    )).unionByName(_entries(
         imputations, (name("imputation.", F.col("method"), ".total"), one),
         (lit("imputation.values_filled.total"), F.col("count")),
-    )).groupBy("name").agg(F.sum("value").alias("value"))
+    ))
 
 
 def newest_metrics(metrics: DataFrame, tie: str, n: int = 10_000, ts: str = "timestamp") -> DataFrame:

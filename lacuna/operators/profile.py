@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from datetime import datetime
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lacuna.functions.columns import (
-    as_text, inline_rows, is_numeric, literal, missing_sql, percentage, present_sql, quoted, ref, round_half_even,
+    as_text, inline_rows, is_numeric, literal, missing_sql, numeric_columns, percentage, present_sql, quoted, ref, round_half_even,
     scalar_columns, text_sql, value_sql,
 )
-from lacuna.functions.durable import local_table
+from lacuna.functions.durable import durable, local_table
+from lacuna.functions.ranking import top_n
 from lacuna.operators.cells import head_values
 from lacuna.params import (
     APPROACHES, BASE_CONFIDENCE, CATEGORICAL, COMPANY_WORDS, CONTEXTUAL, DOMAIN_KEYWORDS, EXPLANATIONS,
@@ -62,16 +65,17 @@ def missing_summary(df: DataFrame, digits: int = 1, columns: Sequence[str] | Non
     return _summary(column_counts(df, columns), digits)
 
 
-def missing_from_counts(profile: DataFrame, rows: int, digits: int = 1) -> DataFrame:
+def missing_from_counts(profile: DataFrame, rows: int | Column, digits: int = 1, by: Sequence[str] = ()) -> DataFrame:
     """The same from a profile's counts, without reading the table again."""
-    return _summary(profile.withColumn("n", F.lit(rows)).withColumn("missing_count", F.col("n") - F.col("present")), digits)
+    n = rows if isinstance(rows, Column) else F.lit(rows)
+    return _summary(profile.withColumn("n", n).withColumn("missing_count", F.col("n") - F.col("present")), digits, by)
 
 
-def _summary(counts: DataFrame, digits: int) -> DataFrame:
+def _summary(counts: DataFrame, digits: int, by: Sequence[str] = ()) -> DataFrame:
     counts = counts.where(F.col("missing_count") > 0)
     raw = F.col("missing_count") / F.col("n") * 100.0
     return counts.select(
-        "position", "column", "missing_count",
+        *by, "position", "column", "missing_count",
         percentage(F.col("missing_count"), F.col("n"), digits).alias("missing_percentage"),
         priority(raw).alias("priority"),
     )
@@ -209,6 +213,47 @@ def profile_columns(df: DataFrame, id_col: str, columns: Sequence[str] | None =
     ).withColumn("has_patterns", F.size("domain_hints") > 0)
 
 
+def profile_columns_by(df: DataFrame, id_col: str, by: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
+    """:func:`profile_columns` of every ``by`` group in the same few jobs, as a table: ``by``, n (rows of the group) and the profile's columns.
+
+    Nothing of it goes through the driver, so the number of groups does not matter. ``id_col`` is unique over all groups.
+    """
+    columns = list(columns) if columns is not None else scalar_columns(df, exclude=[id_col, *by])
+    position = {c: i for i, c in enumerate(df.columns)}
+    keys = [ref(b).alias(b) for b in by]
+    group = [*by, "position"]
+    some = "whole IS NOT NULL OR real IS NOT NULL OR value_key IS NOT NULL"
+    cells = df.select(*keys, ref(id_col).alias("id"), inline_rows([{"position": str(position[c]), **_value_key(df, c)} for c in columns]))
+    values = durable(cells.where(some).groupBy(*group, "whole", "real", "value_key").agg(
+        F.count(F.lit(1)).alias("times"), F.min("id").alias("first_id")))
+    counts = values.groupBy(*group).agg(F.sum("times").alias("present"), F.count(F.lit(1)).alias("unique_values"))
+    every = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).select(*by, "n", inline_rows([
+        {"position": str(position[c]), "column": literal(c), "data_type": literal(df.schema[c].dataType.simpleString()),
+         "is_numeric": str(is_numeric(df, c)).lower()} for c in columns]))
+    stats = durable(every.join(counts, group, "left").withColumns({
+        "present": F.coalesce("present", F.lit(0)), "unique_values": F.coalesce("unique_values", F.lit(0))}))
+    categorical = ~F.col("is_numeric") & (F.col("present") > 0) & (
+        F.col("unique_values") <= F.least(F.lit(float(MAX_CATEGORIES)), F.col("present") * 0.5))
+    listed = values.join(stats.where(categorical).select(*group), group).select(*group, "first_id", "value_key")
+    heads = top_n(cells.where(some).select(*group, "id"), group, [F.col("id").asc()], 10, salt=F.col("id"))
+    # Texts are read only where a list shows them: the first values, and categories that are known by digest.
+    shown = durable(heads.select(*group, "id", F.lit(True).alias("head"), F.lit(None).cast("string").alias("value_key")).unionByName(
+        listed.select(*group, F.col("first_id").alias("id"), F.lit(False).alias("head"), "value_key")))
+    texts = df.join(shown.select(F.col("id").alias("__id")).distinct(), ref(id_col) == F.col("__id"), "left_semi").select(
+        ref(id_col).alias("id"), inline_rows([{"position": str(position[c]), "value": text_sql(df, c)} for c in columns]))
+    lists = shown.join(texts, ["id", "position"]).groupBy(*group).agg(*[
+        F.transform(F.array_sort(F.collect_list(F.when(F.col("head") if name == "head" else ~F.col("head"), F.struct("id", "value")))),
+                    lambda x: x["value"]).alias(name) for name in ("head", "categories")])
+    profile = stats.join(lists, group, "left").withColumns({
+        "head": F.coalesce("head", F.array().cast("array<string>")), "is_categorical": categorical})
+    hints = F.when((F.col("present") > 0) & ~F.col("is_numeric"), domain_hints(F.col("column"), F.col("head"), F.col("unique_values")))
+    return profile.select(
+        *by, "n", "position", "column", "data_type", "present", "unique_values", F.slice("head", 1, 3).alias("sample_values"), "is_numeric",
+        "is_categorical", F.when(F.col("is_categorical"), F.col("categories")).alias("categories"),
+        F.coalesce(hints, F.array().cast("array<string>")).alias("domain_hints"), F.slice("head", 1, 5).alias("examples"),
+    ).withColumn("has_patterns", F.size("domain_hints") > 0)
+
+
 def domain_hints(name: Column, head: Column, unique_values: Column) -> Column:
     """Hints from the column name (any number) and from its first ten values (at most one)."""
     lowered = F.lower(name)
@@ -228,9 +273,9 @@ def domain_hints(name: Column, head: Column, unique_values: Column) -> Column:
     return F.array_compact(F.array(*from_name, from_values))
 
 
-def plan_fills(profile: DataFrame, summary: DataFrame, threshold: int = 20) -> DataFrame:
-    """One row per gappy column: fill method, base confidence, time estimate."""
-    gaps = summary.select("column", "missing_count", "missing_percentage", "priority")
+def plan_fills(profile: DataFrame, summary: DataFrame, threshold: int = 20, by: Sequence[str] = ()) -> DataFrame:
+    """One row per gappy column, of each ``by`` key: fill method, base confidence, time estimate."""
+    gaps = summary.select(*by, "column", "missing_count", "missing_percentage", "priority")
     method = (
         F.when(F.col("is_numeric"), STATISTICAL)
         .when(F.col("is_categorical") & (F.size("categories") <= threshold), CATEGORICAL)
@@ -240,9 +285,9 @@ def plan_fills(profile: DataFrame, summary: DataFrame, threshold: int = 20) -> D
     def by_method(values: dict) -> Column:
         return F.element_at(F.create_map(*[F.lit(x) for kv in values.items() for x in kv]), F.col("method"))
 
-    joined = profile.join(gaps, "column").withColumn("method", method)
+    joined = profile.join(gaps, [*by, "column"]).withColumn("method", method)
     return joined.select(
-        "position", "column", "method",
+        *by, "position", "column", "method",
         by_method(APPROACHES).alias("approach"),
         by_method(BASE_CONFIDENCE).alias("confidence_base"),
         by_method(EXPLANATIONS).alias("explanation"),
@@ -281,3 +326,38 @@ def feature_overlap(df: DataFrame, target: str, features: Sequence[str]) -> Data
         F.expr(f"count_if({present_sql(df, target)} AND {present_sql(df, f)}) AS j{i}") for i, f in enumerate(features)])
     return wide.select(inline_rows([
         {"feature": literal(f), "joint_rows": f"j{i}", "usable": f"j{i} >= 2"} for i, f in enumerate(features)]))
+
+
+def overlap_pairs(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """``first, second, joint_rows, usable`` for every pair of ``columns`` (numeric ones unless named), in table order; usable from two rows.
+
+    One scan: rows are counted by which columns they have, packed into whole numbers, and each such pattern adds to all
+    its pairs at once. A task holds one number per pair and a batch of patterns.
+    """
+    columns = list(columns) if columns is not None else numeric_columns(df)
+    size, width = len(columns), 62
+    packs = [columns[at:at + width] for at in range(0, size, width)]
+    masks = [F.expr(" + ".join(f"IF({present_sql(df, c)}, {1 << j}L, 0L)" for j, c in enumerate(pack)) + f" AS m{i}")
+             for i, pack in enumerate(packs)]
+    patterns = df.select(*masks).groupBy(*[f"m{i}" for i in range(len(packs))]).agg(F.count(F.lit(1)).alias("n"))
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((size, size), np.int64)
+        for batch in batches:
+            has = np.concatenate([(batch.column(i).to_numpy()[:, None] >> np.arange(len(pack)) & 1).astype(np.float64)
+                                  for i, pack in enumerate(packs)], axis=1)
+            # Doubles are exact for whole numbers below 2^53; the two halves of a count stay below it.
+            n = batch.column(len(packs)).to_numpy()
+            for part, scale in ((n & 0xFFFFFF, 1), (n >> 24, 1 << 24)):
+                total += ((has * part[:, None]).T @ has).astype(np.int64) * scale
+        first, second = np.triu_indices(size, 1)
+        yield pa.RecordBatch.from_arrays([pa.array(first, pa.int32()), pa.array(second, pa.int32()), pa.array(total[first, second])],
+                                         names=["i", "j", "n"])
+
+    if size < 2:
+        return local_table(df.sparkSession, [], "first string, second string, joint_rows bigint, usable boolean")
+    sums = patterns.mapInArrow(add, "i int, j int, n long").groupBy("i", "j").agg(F.sum("n").alias("joint_rows"))
+    pairs = local_table(df.sparkSession, [(i, j, columns[i], columns[j]) for i in range(size) for j in range(i + 1, size)],
+                        "i int, j int, first string, second string")
+    return pairs.join(sums, ["i", "j"], "left").select(
+        "first", "second", F.coalesce("joint_rows", F.lit(0)).alias("joint_rows"), (F.coalesce("joint_rows", F.lit(0)) >= 2).alias("usable"))

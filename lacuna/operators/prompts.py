@@ -11,7 +11,7 @@ from lacuna.functions.columns import is_missing, ref
 from lacuna.functions.ranking import top_n
 from lacuna.functions.responses import _object, _strip, read_answer, snapped
 from lacuna.operators.cells import row_context
-from lacuna.params import ModelParams
+from lacuna.params import CATEGORICAL, CONTEXTUAL, ModelParams
 
 ANSWER_FORMAT = 'Answer as JSON: {"value": "...", "confidence": 0.0-1.0, "reasoning": "..."}'
 
@@ -92,6 +92,34 @@ def snap_category(answers: DataFrame, categories: Sequence[str] | Column) -> Dat
     return answers.select(*[changed.get(c, ref(c)).alias(c) for c in answers.columns])
 
 
+def prompts_by_plan(gaps: DataFrame, column: str, model: ModelParams = ModelParams()) -> DataFrame:
+    """The same prompts where every row brings its own plan: ``row_id, context, method, categories, domain_hints, examples``."""
+    joined = lambda c: F.array_join(F.coalesce(F.col(c), F.array().cast("array<string>")), ", ")
+    lines = F.when(F.col("method") == CATEGORICAL, F.concat(F.lit("Choose one of: "), joined("categories"))).otherwise(
+        F.concat(F.lit("Hints: "), joined("domain_hints"), F.lit("\nExamples: "), joined("examples")))
+    head = F.concat(F.lit(f"Missing value of column {column}.\nRow: "), F.col("context"))
+    prompt = F.concat_ws("\n", head, lines, F.lit(ANSWER_FORMAT))
+    return gaps.withColumns({"column": F.lit(column), "prompt": prompt}).withColumn("cache_key", cache_key(F.col("prompt"), model))
+
+
+def with_fallback_by_plan(answers: DataFrame) -> DataFrame:
+    """:func:`with_fallback` and :func:`snap_category` where every answer brings its own ``method`` and ``categories``."""
+    planned = [c for c in answers.columns if c not in ("method", "categories")]
+    first = F.col("method") == CATEGORICAL
+    categorical = answers.where(first)
+    failed = (F.size("categories") > 0) & ~F.col("is_text") | F.col("value").isNull()
+    reason = "Error in LLM processing, used fallback: answer is not text"
+    changed = {
+        "value": F.when(failed, F.coalesce(F.get("categories", F.lit(0)), F.lit("Unknown"))).otherwise(F.col("value")),
+        "confidence": F.when(failed, 0.3).otherwise(F.col("confidence")),
+        "reasoning": F.when(failed, reason).otherwise(F.col("reasoning")),
+    }
+    chosen = categorical.select(*[changed.get(c, ref(c)).alias(c) for c in planned], "categories",
+                                F.when(failed, "fallback").otherwise(F.col("method")).alias("method"))
+    chosen = snap_category(chosen, F.col("categories")).drop("categories")
+    return chosen.unionByName(with_fallback(answers.where(~first).select(*planned), CONTEXTUAL))
+
+
 def with_fallback(answers: DataFrame, method: str, categories: Sequence[str] | None = None) -> DataFrame:
     """Turn unusable answers into error rows and add the ledger ``method``.
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,10 +40,10 @@ def method_confidence(ledger: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("fills"), F.avg("confidence").alias("average_confidence"))
 
 
-def assess_quality(ledger: DataFrame) -> DataFrame:
-    """One row: quality score, share of confident fills, doubtful and failed fills, status."""
+def assess_quality(ledger: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """One row, or one for each ``by`` key: quality score, share of confident fills, doubtful and failed fills, status."""
     c = F.col("confidence")
-    counts = ledger.agg(
+    counts = ledger.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"), F.count_if(c >= 0.8).alias("high"), F.count_if(c < 0.5).alias("low"),
         F.count_if(F.contains(F.lower("method"), F.lit("error"))).alias("errors"),
     )
@@ -52,7 +54,7 @@ def assess_quality(ledger: DataFrame) -> DataFrame:
     )
     some = F.col("n") > 0
     return counts.select(
-        round_half_even(score, 1).alias("overall_quality_score"),
+        *by, round_half_even(score, 1).alias("overall_quality_score"),
         percentage(F.col("high"), F.col("n"), 1).alias("high_confidence_percentage"),
         F.when(some, F.col("low")).alias("low_confidence_count"),
         F.when(some, F.col("errors")).alias("error_count"), status.alias("status"),

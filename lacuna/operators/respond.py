@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
@@ -24,40 +25,99 @@ def table_responder(responses: DataFrame) -> Responder:
         responses.select("cache_key", "response_text"), "cache_key", "left")
 
 
-def respond(misses: DataFrame, ask: Callable[[str], str], concurrency: int = 8,
-            model: ModelParams = ModelParams()) -> DataFrame:
+JOURNAL_SCHEMA = "cache_key string, response_text string, attempts int"
+
+
+def respond(misses: DataFrame, ask: Callable[[str], str], concurrency: int = 8, model: ModelParams = ModelParams(),
+            journal: str | None = None, flush: int = 1) -> DataFrame:
     """Call ``ask`` once per prompt in ``concurrency`` tasks, with retries; the answers are written out.
 
     Failed prompts come back with a NULL text and the status ``failed``. The result is durable before
-    anyone reads it, so a lost executor after that never repeats a call.
+    anyone reads it, so a lost executor after that never repeats a call. With ``journal`` (a folder that executors reach through
+    Arrow's file systems), tasks write every ``flush`` answers there while they run: a task that is tried again reads its own
+    answers first, and a later call with the same folder asks only what is not in it. So a lost task repeats ``flush`` calls at most. Failed
+    prompts are not written, and are asked again by the next call. ``model.requests_per_minute`` is kept by all tasks together.
     """
+    spark = misses.sparkSession
     retries, delay = model.max_retries, model.retry_delay
+    pause = 60.0 * concurrency / model.requests_per_minute if model.requests_per_minute else 0.0
+    wanted = misses.select("cache_key", "prompt")
+    known = None
+    if journal is not None:
+        spark._jvm.org.apache.hadoop.fs.Path(journal).getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(
+            spark._jvm.org.apache.hadoop.fs.Path(journal))
+        found = spark.read.schema(JOURNAL_SCHEMA).parquet(journal).dropDuplicates(["cache_key"])
+        known = durable(found.join(wanted.select("cache_key"), "cache_key", "left_semi").select(
+            "cache_key", "response_text", F.lit("ok").alias("status"), "attempts"))
+        wanted = wanted.join(known.select("cache_key"), "cache_key", "left_anti")
+        run = uuid.uuid4().hex
 
     def call(batches):
         import time
 
         import pandas as pd
-
+        import pyarrow as pa
+        import pyarrow.fs
+        import pyarrow.parquet
+        from pyspark import TaskContext
+
+        task = TaskContext.get()
+        place, done, held = None, {}, []
+        names = ["cache_key", "response_text", "attempts"]
+        if journal is not None:
+            files, folder = pyarrow.fs.FileSystem.from_uri(journal) if ":" in journal else (pyarrow.fs.LocalFileSystem(), journal)
+            place = f"{folder}/{run}-{task.partitionId()}-"
+            if task.attemptNumber():  # what an earlier attempt of this task has been told
+                for f in files.get_file_info(pyarrow.fs.FileSelector(folder)):
+                    if f.path.rsplit("/", 1)[-1].startswith(f"{run}-{task.partitionId()}-"):
+                        for r in pyarrow.parquet.read_table(f.path, filesystem=files).to_pylist():
+                            done[r["cache_key"]] = (r["cache_key"], r["response_text"], "ok", r["attempts"])
+
+        def save() -> None:
+            """One file per ``flush`` answers, under its name only once it is whole."""
+            if held and place is not None:
+                name = f"{place}{uuid.uuid4().hex}.parquet"
+                hidden = f"{folder}/_{name.rsplit('/', 1)[-1]}"
+                columns = list(zip(*((k, t, n) for k, t, _, n in held)))
+                pyarrow.parquet.write_table(pa.table([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string()),
+                                                      pa.array(columns[2], pa.int32())], names=names), hidden, filesystem=files)
+                files.move(hidden, name)
+            held.clear()
+
+        due = time.monotonic()
         for batch in batches:
             rows = []
             for key, prompt in zip(batch["cache_key"], batch["prompt"]):
+                if key in done:
+                    rows.append(done[key])
+                    continue
                 for attempt in range(retries + 1):
+                    if pause:
+                        time.sleep(max(0.0, due - time.monotonic()))
+                        due = max(due, time.monotonic()) + pause
                     try:
                         rows.append((key, str(ask(prompt)).strip(), "ok", attempt + 1))
+                        held.append(rows[-1])
+                        if len(held) >= flush:
+                            save()
                         break
                     except Exception:
                         if attempt == retries:
                             rows.append((key, None, "failed", attempt + 1))
                         else:
                             time.sleep(delay * 2**attempt)
+            save()
             yield pd.DataFrame(rows, columns=["cache_key", "response_text", "status", "attempts"])
 
-    spread = misses.select("cache_key", "prompt").repartition(concurrency, "cache_key")
-    return durable(spread.mapInPandas(call, schema=RESPONSE_SCHEMA))
+    # Dealt by key, so that every attempt of a task has the same prompts.
+    spread = wanted.repartition(concurrency, "cache_key")
+    answers = spread.mapInPandas(call, schema=RESPONSE_SCHEMA)
+    return durable(answers if known is None else answers.unionByName(known))
 
 
-def function_responder(ask: Callable[[str], str], concurrency: int = 8, model: ModelParams = ModelParams()) -> Responder:
-    return lambda prompts: respond(prompts, ask, concurrency, model).select("cache_key", "response_text")
+def function_responder(ask: Callable[[str], str], concurrency: int = 8, model: ModelParams = ModelParams(),
+                       journal: str | None = None) -> Responder:
+    return lambda prompts: respond(prompts, ask, concurrency, model, journal).select("cache_key", "response_text")
 
 
 def modes(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:

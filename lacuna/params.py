@@ -67,12 +67,12 @@ class InputLimits:
 
 @dataclass(frozen=True)
 class FillParams:
-    """How gaps are filled."""
+    """How gaps are filled. ``confidence_threshold`` 0 keeps every fill."""
 
     statistical_method: str = "knn"
     knn_neighbors: int = 3
     categorical_threshold: int = 20
-    confidence_threshold: float = 0.5
+    confidence_threshold: float = 0.0
     max_calls_per_column: int | None = None
     checkpoint_every: int = 4
 
@@ -87,6 +87,7 @@ class ModelParams:
     max_tokens: int = 500
     max_retries: int = 3
     retry_delay: float = 1.0
+    requests_per_minute: int | None = None
 
 
 @dataclass(frozen=True)

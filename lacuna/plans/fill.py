@@ -15,7 +15,7 @@ from lacuna.functions.columns import data_type, is_missing, is_numeric, ref, sca
 from lacuna.functions.durable import durable, local_table
 from lacuna.functions.joins import attach_unique
 from lacuna.operators.cache import CACHE_SCHEMA, cache_lookup
-from lacuna.operators.cells import apply_ledger, head_values, patch
+from lacuna.operators.cells import apply_ledger, confident, head_values, patch
 from lacuna.operators.impute import (
     choose_numeric, fill_digits, ledger_rows, mean_statistic, median_statistic, range_guard,
 )
@@ -137,7 +137,8 @@ def fill_missing(df: DataFrame, id_col: str, plan: DataFrame, run_ts: datetime,
     ``sequential``: each column sees the fills of the columns before it. ``independent``: every column
     is filled from the original table. A text column without responder keeps its gaps; the key ``"*"``
     names a responder for all of them. Fills live in ledger parts keyed by row id, so the table is
-    joined once however many columns are filled.
+    joined once however many columns are filled. Fills below ``params.confidence_threshold`` are not made: their cells stay open
+    and have no ledger row.
     """
     responders = responders or {}
     parts: list[DataFrame] = []
@@ -154,11 +155,15 @@ def fill_missing(df: DataFrame, id_col: str, plan: DataFrame, run_ts: datetime,
             part = durable(custom.impute(now, id_col, column, row, run_ts))
             if is_numeric(now, column):
                 part = durable(range_guard(part, now, column))
+            part = confident(part, params.confidence_threshold)
             parts.append(part)
             joined.append(column)
         elif row["method"] == STATISTICAL:
             part, constant = _numeric_part(df, now, id_col, column, params, run_ts, features)
+            if params.confidence_threshold > 0 and constant is not None:
+                part, constant = durable(part), None  # a constant's confidence may be too low, so it goes through the ledger
             if constant is None:
+                part = confident(part, params.confidence_threshold)
                 parts.append(part)
                 joined.append(column)
             else:
@@ -168,6 +173,7 @@ def fill_missing(df: DataFrame, id_col: str, plan: DataFrame, run_ts: datetime,
             if responder is None:
                 continue
             part, fresh = _text_part(df, now, id_col, row, responder, params, model, cache, caching, run_ts)
+            part = confident(part, params.confidence_threshold)
             parts.append(part)
             joined.append(column)
             caches.append(fresh)

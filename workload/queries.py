@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lacuna.functions.columns import as_text, round_half_even
-from lacuna.functions.durable import scratch_path
+from lacuna.functions.durable import durable, scratch_path
 from lacuna.operators import cache as C
 from lacuna.operators import cells as P
+from lacuna.operators.categories import snap_to_table
 from lacuna.operators import impute as I
 from lacuna.operators import input_rules as V
 from lacuna.operators import metrics as M
@@ -21,14 +22,18 @@ from lacuna.operators import profile as A
 from lacuna.operators import prompts as L
 from lacuna.operators import reports as R
 from lacuna.operators import respond as S
-from lacuna.params import DOMAIN_KEYWORDS, FillParams, InputLimits
+from lacuna.params import DOMAIN_KEYWORDS, FillParams, InputLimits, ModelParams
 from lacuna.plans.analyze import analyze
-from lacuna.plans.fill import fill_missing
-from lacuna.plans.process import fill_files, fill_same_schema, process
-from lacuna.sources.scan import check_source, scan_csv, scan_parquet
+from lacuna.plans.fill import Strategy, fill_missing
+from lacuna.plans.batch import fill_batch
+from lacuna.plans.process import fill_files, fill_same_schema, process, read_batch
+from lacuna.sources.cache_store import CacheStore
+from lacuna.sources.scan import check_source, list_files, row_ids, scan_csv, scan_parquet
 from lacuna.sources.sink import write_csv
-from lacuna.streaming.live import stream_distinct_prompts, stream_fill, stream_fill_by, stream_gate, stream_summary
-from workload.tables import read, with_tables
+from lacuna.streaming.live import (
+    read_latest, stream_counters, stream_distinct_prompts, stream_fill, stream_fill_by, stream_gate, stream_newest, stream_spans, stream_summary,
+)
+from workload.tables import DERIVED, read, with_tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -73,6 +78,8 @@ CUSTOMER = ["c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
 LINEITEM = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
             "l_tax", "l_returnflag", "l_linestatus"]
 
+EVENT_COLUMNS = ["event_id", "user_id", "event_type", "value"]
+
 # ---------------------------------------------------------------- scans, sinks
 
 
@@ -395,6 +402,46 @@ def range_guard_query(spark, sf):
     return I.range_guard(guesses, df, "o_totalprice").select("row_id", "suggested_num", "method", "confidence")
 
 
+GUARDED = f"""
+    SELECT row_id, CASE WHEN p < lo - (hi - lo) OR p > hi + (hi - lo) THEN med ELSE p END AS suggested_num,
+           CASE WHEN p < lo - (hi - lo) OR p > hi + (hi - lo) THEN 'median_fallback' ELSE 'by_customer' END AS method
+    FROM (SELECT o_orderkey AS row_id, CAST(o_custkey * 10000 - 300000 AS DOUBLE) AS p FROM orders_m WHERE o_totalprice IS NULL),
+         (SELECT MIN(o_totalprice) AS lo, MAX(o_totalprice) AS hi, {MEDIAN.format('o_totalprice')} AS med FROM orders_m)"""
+
+
+@query("custom_strategy", GUARDED, ("orders_m",))
+def custom_strategy_query(spark, sf):
+    """A user's strategy takes the price column; what it predicts outside the plausible range becomes the median."""
+    def impute(now, id_col, column, row, run_ts):
+        return I.ledger_rows(now.where(F.col(column).isNull()), F.col(id_col), column, num=F.col("o_custkey") * 10000 - 300000,
+                             confidence=F.lit(0.8), method=F.lit("by_customer"), reasoning=F.lit("price of the customer"), run_ts=run_ts)
+
+    df = read(spark, sf, "orders_m").select("o_orderkey", "o_custkey", "o_totalprice")
+    plan = A.plan_fills(A.profile_columns(df, "o_orderkey"), A.missing_summary(df))
+    own = Strategy("by_customer", lambda row: row["column"] == "o_totalprice", impute)
+    done = fill_missing(df, "o_orderkey", plan, RUN_TS, strategies=[own])
+    filled = done.table.select(F.col("o_orderkey").alias("row_id"), F.col("o_totalprice").alias("suggested_num"))
+    return done.ledger.select("row_id", "method").join(filled, "row_id")
+
+
+@query("fill_same_schema_gaps", f"""SELECT o_orderkey AS row_id, m.v AS suggested_num FROM orders_m o JOIN
+       (SELECT o_orderstatus, {MEDIAN.format('o_totalprice')} AS v FROM orders_m GROUP BY 1) m ON m.o_orderstatus = o.o_orderstatus WHERE o_totalprice IS NULL""", ("orders_m",))
+def same_schema_gaps_query(spark, sf):
+    """A file per order status, each filled with its own median."""
+    path = scratch_path(spark, "statuses")
+    orders = read(spark, sf, "orders_m")
+    orders.select("o_orderkey", "o_totalprice", "o_orderstatus").repartition(1, "o_orderstatus").write.partitionBy("o_orderstatus").parquet(path)
+    return fill_same_schema(spark, [path], "o_orderkey", "o_totalprice", RUN_TS).ledger.select("row_id", "suggested_num")
+
+
+@query("overlap_pairs", " UNION ALL ".join(f"""
+    SELECT '{a}' AS first, '{b}' AS second, COUNT(*) FILTER (WHERE {a} IS NOT NULL AND {b} IS NOT NULL) AS joint_rows,
+    COUNT(*) FILTER (WHERE {a} IS NOT NULL AND {b} IS NOT NULL) >= 2 AS usable FROM events_m""" for i, a in enumerate(EVENT_COLUMNS)
+    for b in EVENT_COLUMNS[i + 1:]), ("events_m",))
+def overlap_pairs_query(spark, sf):
+    return A.overlap_pairs(read(spark, sf, "events_m"), EVENT_COLUMNS)
+
+
 @query("fill_sequential", f"""
     , first_fill AS ({knn_sql('part_m', 'p_partkey', 'p_size', ['p_retailprice'])}),
     sized AS (SELECT p_partkey, COALESCE(CAST(p_size AS DOUBLE), f.suggested_num) AS p_size, p_retailprice FROM part_m
@@ -502,6 +549,30 @@ def cache_delete_query(spark, sf):
     return C.cache_delete(read(spark, sf, "cache"), read(spark, sf, "cache_new")).select("cache_key")
 
 
+@query("cache_store", """SELECT cache_key, value, confidence, epoch_us(last_access) AS access_us FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY cache_key
+       ORDER BY timestamp DESC, last_access DESC, value DESC, confidence DESC, reasoning DESC) AS rn
+       FROM (SELECT * FROM cache UNION ALL SELECT * FROM cache_new)) WHERE rn = 1 AND cache_key NOT IN (SELECT cache_key FROM cache_new WHERE confidence < 0.8)
+       ORDER BY last_access DESC, cache_key LIMIT 200""", ("cache", "cache_new"))
+def cache_store_query(spark, sf):
+    """A stored cache, written, added to, deleted from, evicted, and read by a second reader."""
+    path = scratch_path(spark, "cache-store")
+    store = CacheStore(spark, path, buckets=16)
+    for name in ("cache", "cache_new"):
+        store.upsert(read(spark, sf, name).withColumn("metadata", F.lit(None)))
+    store.delete(read(spark, sf, "cache_new").where("confidence < 0.8"))
+    store.evict_lru(200)
+    store.expire(keep=1)
+    return CacheStore(spark, path).read().select("cache_key", "value", "confidence", F.unix_micros("last_access").alias("access_us"))
+
+
+@query("cache_store_lookup", f"""SELECT l.row_id, l.cache_key, c.value, c.cache_key IS NOT NULL AS hit FROM lookups l
+       LEFT JOIN (SELECT * FROM cache WHERE {FRESH.format(ttl=TTL)}) c ON c.cache_key = l.cache_key""", ("lookups", "cache"))
+def cache_store_lookup_query(spark, sf):
+    store = CacheStore(spark, scratch_path(spark, "cache-store"), buckets=16)
+    store.upsert(read(spark, sf, "cache").withColumn("metadata", F.lit(None)))
+    return store.lookup(read(spark, sf, "lookups"), TTL, now()).select("row_id", "cache_key", "value", "hit")
+
+
 @query("cache_stats", f"""SELECT (SELECT COUNT(*) FROM cache) AS size, 1000 AS max_size, 3600 AS ttl_seconds, COUNT(*) AS lookups,
        COUNT(*) FILTER (WHERE cache_key IN (SELECT cache_key FROM cache)) AS hits,
        round(AVG(CASE WHEN cache_key IN (SELECT cache_key FROM cache) THEN 1.0 ELSE 0.0 END), 6) AS hit_rate FROM lookups""", ("lookups", "cache"))
@@ -547,6 +618,31 @@ def snap_query(spark, sf):
     return L.snap_category(read(spark, sf, "answers"), TYPES)
 
 
+NAMES = """, named AS (SELECT p_name AS category, MIN(p_partkey) AS position FROM part GROUP BY p_name),
+    said AS (SELECT p_partkey AS row_id, CASE p_partkey % 7 WHEN 0 THEN p_name WHEN 1 THEN upper(p_name) WHEN 2 THEN concat('a ', p_name, '!')
+        WHEN 3 THEN substring(p_name, 3, 6) WHEN 4 THEN substring(p_name, 2, 2) WHEN 5 THEN concat(p_name, p_partkey) ELSE concat('?', p_partkey) END AS value,
+        CAST(0.5 AS DOUBLE) AS confidence, 'r' AS reasoning FROM part)"""
+
+
+@query("snap_to_table", "WITH none AS (SELECT 1)" + NAMES + """,
+    best AS (SELECT value, COALESCE(MIN(CASE WHEN lower(value) = lower(category) THEN position END),
+                 MIN(CASE WHEN contains(lower(value), lower(category)) OR contains(lower(category), lower(value)) THEN position END),
+                 (SELECT MIN(position) FROM named)) AS position, bool_or(value = category) AS known
+             FROM (SELECT DISTINCT value FROM said), named GROUP BY value)
+    SELECT row_id, CASE WHEN known THEN s.value ELSE category END AS value, CASE WHEN known THEN confidence ELSE confidence * 0.8::DOUBLE END AS confidence,
+           CASE WHEN known THEN reasoning ELSE reasoning || ' (adjusted to closest valid category)' END AS reasoning
+    FROM said s JOIN best b ON b.value = s.value JOIN named n ON n.position = b.position""")
+def snap_to_table_query(spark, sf):
+    """All part names as categories; answers that are a name, differ in case, contain one, are part of one, or neither."""
+    part = read(spark, sf, "part")
+    name, key = F.col("p_name"), F.col("p_partkey")
+    said = F.when(key % 7 == 0, name).when(key % 7 == 1, F.upper(name)).when(key % 7 == 2, F.concat(F.lit("a "), name, F.lit("!"))).when(
+        key % 7 == 3, F.substring(name, 3, 6)).when(key % 7 == 4, F.substring(name, 2, 2)).when(
+        key % 7 == 5, F.concat(name, key.cast("string"))).otherwise(F.concat(F.lit("?"), key.cast("string")))
+    answers = part.select(key.alias("row_id"), said.alias("value"), F.lit(0.5).alias("confidence"), F.lit("r").alias("reasoning"))
+    return snap_to_table(answers, part.select(key.alias("position"), name.alias("category")))
+
+
 @query("with_fallback", """SELECT row_id, CASE WHEN value = '' THEN 'ECONOMY' ELSE value END AS value,
        CASE WHEN value = '' THEN 0.3::DOUBLE ELSE confidence END AS confidence, CASE WHEN value = '' THEN 'fallback' ELSE 'llm_categorical' END AS method
        FROM answers""", ("answers",))
@@ -590,6 +686,18 @@ def fill_text_query(spark, sf):
     return fill_missing(keyed, "p_partkey", plan, RUN_TS, responders).table.select("p_partkey", "p_brand", "p_type")
 
 
+@query("fill_above_threshold", MODES + """ SELECT row_id, value AS suggested_value, confidence FROM replies WHERE confidence >= 0.25""", ("part_m",))
+def fill_above_threshold_query(spark, sf):
+    """Only fills that reach the threshold are made."""
+    df = read(spark, sf, "part_m").select("p_partkey", "p_brand", "p_type")
+    keyed = df.withColumn("key_text", F.col("p_partkey").cast("string"))
+    plan = A.plan_fills(A.profile_columns(keyed, "p_partkey"), A.missing_summary(keyed)).where("column = 'p_type'")
+    responders = {"p_type": S.mode_responder(keyed, "p_partkey", "p_type", "p_brand")}
+    done = fill_missing(keyed, "p_partkey", plan, RUN_TS, responders, FillParams(confidence_threshold=0.25))
+    made = done.table.where("p_type IS NOT NULL").select("p_partkey")
+    return done.ledger.join(made, F.col("row_id") == F.col("p_partkey")).select("row_id", "suggested_value", "confidence")
+
+
 # ---------------------------------------------------------------- reports
 
 
@@ -818,6 +926,18 @@ def check_quality_query(spark, sf):
     return O.check_quality(R.assess_quality(ledger(spark, sf)))
 
 
+@query("check_quality_faults", """SELECT 'overall_quality_score' AS field, n * 1.0 / 10 BETWEEN 0 AND 100 AS passed FROM (SELECT COUNT(*) AS n FROM ledger)
+       UNION ALL SELECT 'high_confidence_percentage', -1.0 >= 0 UNION ALL SELECT 'low_confidence_count', COUNT(*) FILTER (WHERE confidence < 0.5) >= 0 FROM ledger
+       UNION ALL SELECT 'error_count', FALSE UNION ALL SELECT 'status', FALSE""", ("ledger",))
+def check_quality_faults_query(spark, sf):
+    """An assessment with a score that follows the rows, a negative share, no error count and an unknown status."""
+    assessed = R.assess_quality(ledger(spark, sf))
+    n = ledger(spark, sf).count()
+    return O.check_quality(assessed.withColumns({
+        "overall_quality_score": F.lit(n / 10), "high_confidence_percentage": F.lit(-1.0), "error_count": F.lit(None).cast("bigint"),
+        "status": F.lit("splendid")}))
+
+
 CELL = "CASE l.col_name " + " ".join(f"WHEN '{c}' THEN CAST(a.{c} AS VARCHAR)" for c in PART) + " END"
 OUTCOMES = f"""(SELECT row_id, col_name, expected, actual, CASE WHEN expected IS NULL AND actual IS NULL THEN 'both_missing'
     WHEN expected IS NULL OR actual IS NULL THEN 'missing_mismatch' WHEN expected = actual THEN 'filled' ELSE 'value_mismatch' END AS outcome
@@ -989,6 +1109,65 @@ def fill_files_query(spark, sf):
     return reports.select("batch_index", "success", "rows", "fills")
 
 
+NATION_GATE = """gate AS (SELECT c_nationkey, COUNT(*) FILTER (WHERE c_acctbal IS NOT NULL AND c_mktsegment IS NOT NULL) >= 3 AND COUNT(c_acctbal) >= 2 AS near,
+           AVG(c_acctbal) AS mean, median(c_acctbal) AS middle FROM customer_m GROUP BY c_nationkey)"""
+
+
+@query("fill_files_in_one_chain", f"""
+    , {NATION_GATE},
+    nearest AS (SELECT c_custkey, AVG(y) AS v FROM (
+        SELECT r.c_custkey, d.c_acctbal AS y, ROW_NUMBER() OVER (PARTITION BY r.c_custkey ORDER BY abs(r.c_custkey - d.c_custkey), d.c_custkey) AS rn
+        FROM customer_m r JOIN customer_m d ON r.c_nationkey = d.c_nationkey WHERE r.c_acctbal IS NULL AND d.c_acctbal IS NOT NULL)
+        WHERE rn <= 3 GROUP BY c_custkey)
+    SELECT c.c_nationkey AS batch_index, c.c_custkey, round_even(COALESCE(CASE WHEN near THEN COALESCE(v, mean) ELSE middle END, 0.0) * 100.0, 0) / 100.0 AS suggested_num,
+           CASE WHEN near THEN 0.8::DOUBLE ELSE 0.6::DOUBLE END AS confidence,
+           CASE WHEN near THEN 'knn_imputation' ELSE 'median_imputation' END AS method
+    FROM customer_m c JOIN gate g ON g.c_nationkey = c.c_nationkey LEFT JOIN nearest n ON n.c_custkey = c.c_custkey WHERE c.c_acctbal IS NULL""", ("customer_m",))
+def fill_one_chain_query(spark, sf):
+    """A file per nation, all filled together, each from its own rows only; the row's place in its file is its id."""
+    path = scratch_path(spark, "nations")
+    read(spark, sf, "customer_m").repartition("c_nationkey").sortWithinPartitions("c_nationkey", "c_custkey").write.partitionBy(
+        "c_nationkey").parquet(path)
+    table = read_batch(spark, [f"{path}/c_nationkey={k}" for k in range(25)])
+    result = fill_batch(durable(table), "__row_id", "__file", RUN_TS)
+    keys = result.table.select(F.col("__row_id").alias("row_id"), "c_custkey")
+    return result.ledger.where(F.col("column") == "c_acctbal").join(keys, "row_id").select(
+        F.col("__file").alias("batch_index"), "c_custkey", "suggested_num", "confidence", "method")
+
+
+@query("profile_by_group", """SELECT c_nationkey, 'c_mktsegment' AS "column", COUNT(*) AS n, COUNT(c_mktsegment) AS present, COUNT(DISTINCT c_mktsegment) AS unique_values,
+       COUNT(DISTINCT c_mktsegment) <= LEAST(50.0, COUNT(c_mktsegment) * 0.5) AND COUNT(c_mktsegment) > 0 AS is_categorical,
+       array_to_string((list(c_mktsegment ORDER BY c_custkey) FILTER (WHERE c_mktsegment IS NOT NULL))[1:3], '|') AS sample_values FROM customer_m GROUP BY c_nationkey
+       UNION ALL SELECT c_nationkey, 'c_acctbal', COUNT(*), COUNT(c_acctbal), COUNT(DISTINCT c_acctbal), FALSE, '' FROM customer_m GROUP BY c_nationkey""", ("customer_m",))
+def profile_by_query(spark, sf):
+    profile = A.profile_columns_by(read(spark, sf, "customer_m"), "c_custkey", ["c_nationkey"], ["c_mktsegment", "c_acctbal"])
+    return profile.select("c_nationkey", "column", "n", "present", "unique_values", "is_categorical",
+                          F.when(F.col("is_numeric"), "").otherwise(F.array_join("sample_values", "|")).alias("sample_values"))
+
+
+@query("scan_csv_quoted", """SELECT c_custkey, c_name || chr(10) || '"' || c_mktsegment || '", ' || c_custkey AS note, c_acctbal FROM customer""")
+def scan_csv_quoted_query(spark, sf):
+    """Texts with commas, quotes and line breaks, written and read back."""
+    path = scratch_path(spark, "quoted") + ".csv"
+    note = F.concat("c_name", F.lit('\n"'), "c_mktsegment", F.lit('", '), F.col("c_custkey").cast("string"))
+    write_csv(read(spark, sf, "customer").select("c_custkey", note.alias("note"), "c_acctbal"), path)
+    return scan_csv(spark, path)
+
+
+@query("row_ids", "SELECT c_custkey, ROW_NUMBER() OVER (ORDER BY c_custkey) - 1 AS row_id FROM customer")
+def row_ids_query(spark, sf):
+    """Rows of a delimited file, read in small blocks, are numbered in the file's order."""
+    path = scratch_path(spark, "numbered") + ".csv"
+    write_csv(read(spark, sf, "customer").select("c_custkey", "c_name").orderBy("c_custkey").coalesce(1), path)
+    blocks = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        rows = row_ids(scan_csv(spark, path, origin=True), "row_id", "file", list_files(spark, [path]))
+        return durable(rows.select("c_custkey", "row_id"))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", blocks)
+
+
 @query("process", """SELECT COUNT(*) AS total_rows_processed, COUNT(*) FILTER (WHERE o_totalprice IS NULL) AS total_fields_filled,
        'knn_imputation' AS methods, 100.0::DOUBLE AS overall_quality_score, 'excellent' AS status, 0 AS violations FROM orders_m""", ("orders_m",))
 def process_query(spark, sf):
@@ -1007,6 +1186,23 @@ def respond_query(spark, sf):
     return asked.select("cache_key", "response_text", "status")
 
 
+@query("respond_resumed", """SELECT sha256('prompt of ' || user_id) AS cache_key, CASE WHEN user_id % 2 = 0 THEN 'first: ' ELSE 'second: ' END || 'prompt of ' || user_id AS response_text,
+       'ok' AS status FROM events GROUP BY user_id""")
+def respond_resumed_query(spark, sf):
+    """A first run in which half of the calls fail; a second one with the same journal asks only those."""
+    def first(prompt: str) -> str:
+        if int(prompt.rsplit(" ", 1)[1]) % 2:
+            raise TimeoutError
+        return f"first: {prompt}"
+
+    prompts = read(spark, sf, "events").select(F.concat(F.lit("prompt of "), F.col("user_id")).alias("prompt")).distinct()
+    prompts = prompts.withColumn("cache_key", F.sha2("prompt", 256))
+    journal, model = scratch_path(spark, "journal"), ModelParams(max_retries=0)
+    S.respond(prompts, first, model=model, journal=journal, flush=50)
+    again = S.respond(prompts, lambda prompt: f"second: {prompt}", model=model, journal=journal, flush=50)
+    return again.select("cache_key", "response_text", "status")
+
+
 # ---------------------------------------------------------------- streams
 
 
@@ -1068,6 +1264,53 @@ def stream_distinct_query(spark, sf):
     return drained(stream_distinct_prompts(stream), spark, "stream-distinct").select("cache_key")
 
 
+def in_two_runs(spark, sf, name: str, start) -> None:
+    """The events as four files: two are there for a first run of the stream, which ends; the others for a second one, a file a batch."""
+    path = scratch_path(spark, name)
+    events = spark.read.parquet(f"{sf}/events.parquet").withColumn("part", F.col("event_id") % 4)
+    for parts in ((0, 1), (2, 3)):
+        events.where(F.col("part").isin(*parts)).repartition(2, "part").drop("part").write.mode("append").parquet(path)
+        stream = spark.readStream.schema(events.drop("part").schema).option("maxFilesPerTrigger", 1).parquet(path)
+        start(stream).start().awaitTermination()
+
+
+@query("stream_counters", ORACLE["counters"])
+def stream_counters_query(spark, sf):
+    path = scratch_path(spark, "stream-counters")
+
+    def start(stream):
+        derived = {n: spark.sql(DERIVED[n], events=stream) for n in ("performance", "api_calls", "imputations")}
+        return stream_counters(M.counter_entries(*derived.values()), f"{path}/counters", f"{path}/state")
+
+    in_two_runs(spark, sf, "stream-counters-in", start)
+    return read_latest(spark, f"{path}/counters").withColumn("value", F.round("value", 4))
+
+
+@query("stream_newest", "SELECT event_id FROM performance ORDER BY timestamp DESC, event_id LIMIT 700", ("performance",))
+def stream_newest_query(spark, sf):
+    path = scratch_path(spark, "stream-newest")
+    in_two_runs(spark, sf, "stream-newest-in", lambda stream: stream_newest(
+        spark.sql(DERIVED["performance"], events=stream), f"{path}/newest", f"{path}/state", "event_id", 700))
+    return read_latest(spark, f"{path}/newest").select("event_id")
+
+
+@query("stream_spans", """SELECT COALESCE(s.operation_id, e.operation_id) AS operation_id, s.operation,
+       round((epoch_us(e.end_ts) - epoch_us(s.start_ts)) / 1000000.0, 6) AS duration_seconds, e.success, e.error,
+       CASE WHEN s.operation_id IS NULL THEN 'orphan' WHEN e.operation_id IS NULL THEN 'open' ELSE 'paired' END AS state
+       FROM span_starts s FULL JOIN span_ends e ON e.operation_id = s.operation_id""", ("span_starts", "span_ends"))
+def stream_spans_query(spark, sf):
+    """Starts and ends as two streams; a last event far ahead lets the watermark pass all others."""
+    folders = {}
+    for name, ts in (("span_starts", "start_ts"), ("span_ends", "end_ts")):
+        folders[name] = scratch_path(spark, name)
+        rows = read(spark, sf, name)
+        last = rows.agg(F.max(ts).alias(ts)).select((F.col(ts) + F.expr("INTERVAL 10 DAYS")).alias(ts), F.lit("past the end").alias("operation_id"))
+        rows.unionByName(last, allowMissingColumns=True).write.parquet(folders[name])
+    streams = [spark.readStream.schema(spark.read.parquet(f).schema).parquet(f) for f in folders.values()]
+    found = drained(stream_spans(*streams, longest="5 minutes"), spark, "stream-spans")
+    return found.where("operation_id <> 'past the end'").select("operation_id", "operation", "duration_seconds", "success", "error", "state")
+
+
 @query("stream_gate", """SELECT 'good' AS sink, event_id FROM events_m""", ("events_m",))
 def stream_gate_query(spark, sf):
     path = scratch_path(spark, "stream-gate")
