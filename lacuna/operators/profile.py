@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from datetime import datetime
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -213,38 +214,93 @@ def profile_columns(df: DataFrame, id_col: str, columns: Sequence[str] | None =
     ).withColumn("has_patterns", F.size("domain_hints") > 0)
 
 
-def profile_columns_by(df: DataFrame, id_col: str, by: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
-    """:func:`profile_columns` of every ``by`` group in the same few jobs, as a table: ``by``, n (rows of the group) and the profile's columns.
+class ProfileState(NamedTuple):
+    """What a profile is made of, in a form that can be added up: tables with a row per group, value and head value.
 
-    Nothing of it goes through the driver, so the number of groups does not matter. ``id_col`` is unique over all groups.
+    ``counts``: ``by``, n. ``values``: ``by``, position, whole, real, value_key, times, first_id, text (of long texts in short lists).
+    ``heads``: ``by``, position, id, value of the first ten values. ``fields``: position, column, data_type, is_numeric of each column.
     """
+
+    counts: DataFrame
+    values: DataFrame
+    heads: DataFrame
+    by: list[str]
+    fields: list[tuple[int, str, str, bool]]
+
+    def save(self, path: str) -> None:
+        """Three tables and the columns below ``path``."""
+        for name in ("counts", "values", "heads"):
+            getattr(self, name).write.mode("overwrite").parquet(f"{path}/{name}")
+        spark = self.counts.sparkSession
+        head = local_table(spark, [(*f, ",".join(map(quoted, self.by))) for f in self.fields],
+                           "position int, column string, data_type string, is_numeric boolean, by string")
+        head.coalesce(1).write.mode("overwrite").parquet(f"{path}/fields")
+
+
+def load_state(spark: SparkSession, path: str) -> ProfileState:
+    rows = sorted(spark.read.parquet(f"{path}/fields").collect())
+    tables = [spark.read.parquet(f"{path}/{name}") for name in ("counts", "values", "heads")]
+    return ProfileState(*tables, [c for c in tables[0].columns if c != "n"], [tuple(r)[:4] for r in rows])
+
+
+def profile_state(df: DataFrame, id_col: str, by: Sequence[str] = (), columns: Sequence[str] | None = None) -> ProfileState:
+    """The state of ``df``, of each ``by`` group apart; ``id_col`` is unique over all groups, and over all tables whose states will be merged."""
     columns = list(columns) if columns is not None else scalar_columns(df, exclude=[id_col, *by])
     position = {c: i for i, c in enumerate(df.columns)}
+    texts = [position[c] for c in columns if not is_numeric(df, c)]
     keys = [ref(b).alias(b) for b in by]
     group = [*by, "position"]
     some = "whole IS NOT NULL OR real IS NOT NULL OR value_key IS NOT NULL"
     cells = df.select(*keys, ref(id_col).alias("id"), inline_rows([{"position": str(position[c]), **_value_key(df, c)} for c in columns]))
     values = durable(cells.where(some).groupBy(*group, "whole", "real", "value_key").agg(
         F.count(F.lit(1)).alias("times"), F.min("id").alias("first_id")))
-    counts = values.groupBy(*group).agg(F.sum("times").alias("present"), F.count(F.lit(1)).alias("unique_values"))
-    every = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).select(*by, "n", inline_rows([
-        {"position": str(position[c]), "column": literal(c), "data_type": literal(df.schema[c].dataType.simpleString()),
-         "is_numeric": str(is_numeric(df, c)).lower()} for c in columns]))
+    heads = top_n(cells.where(some).select(*group, "id"), group, [F.col("id").asc()], 10, salt=F.col("id"))
+    # Lists only get longer, so a column with a long one here needs no texts of it. Texts are read only where a list shows them.
+    short = values.where(F.col("position").isin(texts)).groupBy(*group).agg(F.count(F.lit(1)).alias("u")).where(F.col("u") <= MAX_CATEGORIES)
+    hashed = F.col("value_key").startswith("#") & (F.length("value_key") == LONG_TEXT + 1)
+    listed = values.where(hashed).join(short.select(*group), group, "left_semi").select(*group, F.col("first_id").alias("id"))
+    shown = durable(heads.select(*group, "id", F.lit(True).alias("head")).unionByName(listed.withColumn("head", F.lit(False))))
+    rows = df.join(shown.select(F.col("id").alias("__id")).distinct(), ref(id_col) == F.col("__id"), "left_semi").select(
+        ref(id_col).alias("id"), inline_rows([{"position": str(position[c]), "value": text_sql(df, c)} for c in columns]))
+    shown = durable(shown.join(rows, ["id", "position"]))
+    long = shown.where(~F.col("head")).select(*group, F.col("id").alias("first_id"), F.col("value").alias("text"))
+    return ProfileState(
+        durable(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))), values.join(long, [*group, "first_id"], "left"),
+        shown.where("head").select(*group, "id", "value"), list(by),
+        [(position[c], c, df.schema[c].dataType.simpleString(), is_numeric(df, c)) for c in columns])
+
+
+def merge_states(one: ProfileState, other: ProfileState) -> ProfileState:
+    """The state of both tables together; neither is read again, only their states are."""
+    if (one.by, one.fields) != (other.by, other.fields):
+        raise ValueError("states of different columns")
+    group = [*one.by, "position"]
+    counts = one.counts.unionByName(other.counts).groupBy(*one.by).agg(F.sum("n").alias("n"))
+    values = one.values.unionByName(other.values).groupBy(*group, "whole", "real", "value_key").agg(
+        F.sum("times").alias("times"), F.min("first_id").alias("first_id"), F.min_by("text", "first_id").alias("text"))
+    heads = top_n(one.heads.unionByName(other.heads), group, [F.col("id").asc()], 10)
+    return ProfileState(durable(counts), durable(values), durable(heads), one.by, one.fields)
+
+
+def profile_from_state(state: ProfileState) -> DataFrame:
+    """The profile as a table: ``by``, n (rows of the group), the columns of :func:`profile_columns`, and examples (first five values)."""
+    by, group = state.by, [*state.by, "position"]
+    counts = state.values.groupBy(*group).agg(F.sum("times").alias("present"), F.count(F.lit(1)).alias("unique_values"))
+    every = state.counts.select(*by, "n", inline_rows([
+        {"position": str(i), "column": literal(c), "data_type": literal(kind), "is_numeric": str(numeric).lower()}
+        for i, c, kind, numeric in state.fields]))
     stats = durable(every.join(counts, group, "left").withColumns({
         "present": F.coalesce("present", F.lit(0)), "unique_values": F.coalesce("unique_values", F.lit(0))}))
     categorical = ~F.col("is_numeric") & (F.col("present") > 0) & (
         F.col("unique_values") <= F.least(F.lit(float(MAX_CATEGORIES)), F.col("present") * 0.5))
-    listed = values.join(stats.where(categorical).select(*group), group).select(*group, "first_id", "value_key")
-    heads = top_n(cells.where(some).select(*group, "id"), group, [F.col("id").asc()], 10, salt=F.col("id"))
-    # Texts are read only where a list shows them: the first values, and categories that are known by digest.
-    shown = durable(heads.select(*group, "id", F.lit(True).alias("head"), F.lit(None).cast("string").alias("value_key")).unionByName(
-        listed.select(*group, F.col("first_id").alias("id"), F.lit(False).alias("head"), "value_key")))
-    texts = df.join(shown.select(F.col("id").alias("__id")).distinct(), ref(id_col) == F.col("__id"), "left_semi").select(
-        ref(id_col).alias("id"), inline_rows([{"position": str(position[c]), "value": text_sql(df, c)} for c in columns]))
-    lists = shown.join(texts, ["id", "position"]).groupBy(*group).agg(*[
-        F.transform(F.array_sort(F.collect_list(F.when(F.col("head") if name == "head" else ~F.col("head"), F.struct("id", "value")))),
-                    lambda x: x["value"]).alias(name) for name in ("head", "categories")])
-    profile = stats.join(lists, group, "left").withColumns({
+    listed = state.values.join(stats.where(categorical).select(*group), group, "left_semi").select(
+        *group, F.col("first_id").alias("id"), F.coalesce("text", "value_key").alias("value"))
+
+    def lists(rows: DataFrame, name: str) -> DataFrame:
+        ordered = F.array_sort(F.collect_list(F.struct("id", "value")))  # ten, or at most MAX_CATEGORIES
+        return rows.groupBy(*group).agg(F.transform(ordered, lambda x: x["value"]).alias(name))
+
+    profile = stats.join(lists(state.heads, "head"), group, "left").join(lists(listed, "categories"), group, "left").withColumns({
         "head": F.coalesce("head", F.array().cast("array<string>")), "is_categorical": categorical})
     hints = F.when((F.col("present") > 0) & ~F.col("is_numeric"), domain_hints(F.col("column"), F.col("head"), F.col("unique_values")))
     return profile.select(
@@ -254,6 +310,14 @@ def profile_columns_by(df: DataFrame, id_col: str, by: Sequence[str], columns: S
     ).withColumn("has_patterns", F.size("domain_hints") > 0)
 
 
+def profile_columns_by(df: DataFrame, id_col: str, by: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
+    """:func:`profile_columns` of every ``by`` group in the same few jobs, as a table: ``by``, n (rows of the group) and the profile's columns.
+
+    Nothing of it goes through the driver, so the number of groups does not matter. ``id_col`` is unique over all groups.
+    """
+    return profile_from_state(profile_state(df, id_col, by, columns))
+
+
 def domain_hints(name: Column, head: Column, unique_values: Column) -> Column:
     """Hints from the column name (any number) and from its first ten values (at most one)."""
     lowered = F.lower(name)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lacuna.functions.durable import durable
-from lacuna.operators.profile import profile_columns, profile_columns_by
+from lacuna.operators.profile import load_state, merge_states, profile_columns, profile_columns_by, profile_from_state, profile_state
 from lacuna.params import FillParams
 from lacuna.plans.analyze import analyze
 from lacuna.plans.batch import fill_batch
@@ -69,6 +69,18 @@ def test_profiles_by_group_equal_profiles_alone(spark, files):
             assert [mine[c] for c in r.asDict() if c != "position"] == [r[c] for c in r.asDict() if c != "position"]
 
 
+def test_merged_states_equal_the_whole(spark, files, tmp_path):
+    table = durable(read_batch(spark, files))
+    for by in ([], ["__file"]):
+        whole = sorted(map(repr, profile_columns_by(table, "__row_id", by).collect()))
+        parts = [profile_state(table.where(F.col("__row_id") % 3 == k), "__row_id", by) for k in range(3)]
+        parts[0].save(str(tmp_path / f"state{len(by)}"))
+        merged = merge_states(merge_states(parts[2], load_state(spark, str(tmp_path / f"state{len(by)}"))), parts[1])
+        assert sorted(map(repr, profile_from_state(merged).collect())) == whole
+    with pytest.raises(ValueError):
+        merge_states(parts[0], profile_state(table, "__row_id", columns=["a"]))
+
+
 def jobs(spark, run):
     before = spark.sparkContext.getConf().get("spark.app.id")
     spark.sparkContext.setJobGroup(f"count-{random.random()}", before)

@@ -232,6 +232,15 @@ def profile_columns_query(spark, sf):
     return flat_profile(A.profile_columns(read(spark, sf, "part_m"), "p_partkey"))
 
 
+@query("profile_merged", profile_sql("part_m", "p_partkey", PART_KINDS), ("part_m",))
+def profile_merged_query(spark, sf):
+    """The profile of two halves: each one's state is stored and read back, and the two are merged."""
+    df, path = read(spark, sf, "part_m"), scratch_path(spark, "states")
+    for k in (0, 1):
+        A.profile_state(df.where(F.col("p_partkey") % 2 == k), "p_partkey").save(f"{path}/{k}")
+    return flat_profile(A.profile_from_state(A.merge_states(*(A.load_state(spark, f"{path}/{k}") for k in (0, 1)))))
+
+
 @query("profile_columns_documents", profile_sql("documents_m", "doc_id", list(enumerate(
     [("text", "t"), ("lang", "t"), ("source", "t"), ("n_chars", "n")], 1))), ("documents_m",))
 def profile_documents_query(spark, sf):
