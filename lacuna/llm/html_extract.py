@@ -12,6 +12,7 @@ prose is in them: see ``rescue``.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -21,7 +22,6 @@ from pyspark.sql import DataFrame
 from lacuna.functions.columns import ref
 
 ROWS = 500
-DEEPEST = 512  # elements nested deeper do not open a level of their own; their text stays with the last level
 
 #: HTML element groups.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -53,7 +53,8 @@ _APART = re.compile(r"nav|menu|navbar|navigation|breadcrumbs?|ads?|advert.*|adse
 _WRAPPERS = frozenset(("form", "fieldset", "widget"))  # elements put around anything
 LEAST_PROSE, LITTLE_PROSE, MUCH_PROSE = 2.0, 4.0, 4  # points of a text to rescue, of little text, and how much more is much
 _ROLE = frozenset(("navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "form", "menu"))
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+#: A quote opens a value only right behind ``=``; elsewhere it is a character like any other.
+_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?>\"[^\"]*\"|'[^']*')?+)*+)>", re.S)
 _LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|$)", re.S)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 _SPACE = re.compile(r"\s+")
@@ -63,14 +64,14 @@ LINKS = 0.5  # share of linked text from which something consists of links
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "why", "dropped", "score", "chars", "linked", "depth")
+    __slots__ = ("tag", "parent", "children", "why", "dropped", "score", "chars", "linked", "holder")
 
     def __init__(self, tag: str, parent: Node | None, why: frozenset[str]) -> None:
         self.tag, self.parent, self.why = tag, parent, why
         self.dropped = bool(why)  # with all that is below it
         self.children: list[Node | str] = []
         self.score, self.chars, self.linked = 0.0, 0, 0
-        self.depth = 0 if parent is None else parent.depth + 1
+        self.holder: Node = self if parent is None or tag in BLOCK else parent.holder  # the block around an inline element
 
 
 def _unwanted(tag: str, attributes: str) -> frozenset[str]:
@@ -92,18 +93,35 @@ def _unwanted(tag: str, attributes: str) -> frozenset[str]:
 
 
 def parse(html: str) -> Node:
-    """Element tree of a page, however badly it nests; text stays undecoded."""
+    """Element tree of a page, however badly and deeply it nests; text stays undecoded."""
     root = Node("html", None, frozenset())
     top, at, end = root, 0, len(html)
-
-    def close_to(node: Node, tags: frozenset | set, stops: frozenset | set) -> Node:
-        """Parent of the nearest open element of ``tags`` below ``stops``; the node itself if there is none."""
-        n = node
-        while n is not None and n.tag not in stops:
+    opened = Counter({"html": 1})  # elements that are open, by tag
+
+    def open_(node: Node) -> None:
+        nonlocal top
+        opened[node.tag] += 1
+        top = node
+
+    def close(node: Node) -> None:
+        """Close the open elements from the innermost one to ``node``."""
+        nonlocal top
+        while True:
+            opened[top.tag] -= 1
+            done, top = top is node, top.parent
+            if done:
+                return
+
+    def nearest(tags: frozenset | set, stops: frozenset | set) -> Node | None:
+        """The nearest open element of ``tags`` below ``stops``; the root is none."""
+        if not any(opened[t] for t in tags):
+            return None
+        n = top
+        while n.parent is not None and n.tag not in stops:
             if n.tag in tags:
-                return n.parent or n
+                return n
             n = n.parent
-        return node
+        return None
 
     while at < end:
         lt = html.find("<", at)
@@ -124,30 +142,32 @@ def parse(html: str) -> Node:
             continue  # comment or declaration
         tag = m[2].lower()
         if m[1]:
-            if tag == "p" and close_to(top, {"p"}, INLINE_STOP) is top:
-                continue
-            n = top
-            while n is not None and n.tag != tag:
-                n = n.parent
+            if tag == "p":
+                n = nearest({"p"}, INLINE_STOP)
+            elif opened[tag]:
+                n = top
+                while n is not None and n.tag != tag:
+                    n = n.parent
+            else:
+                n = None
             if n is not None and n.parent is not None:
-                top = n.parent
+                close(n)
             continue
-        if tag in ("html", "body") and any(True for _ in root.children):
-            if tag == "html":
-                continue
-        if tag in CLOSES_P:
-            top = close_to(top, {"p"}, INLINE_STOP)
+        if tag == "html" and root.children:
+            continue
+        if tag in CLOSES_P and (n := nearest({"p"}, INLINE_STOP)) is not None:
+            close(n)
         if tag in IMPLIED:
             tags, stops = IMPLIED[tag]
-            while (up := close_to(top, tags, stops)) is not top:
-                top = up
+            while (n := nearest(tags, stops)) is not None:
+                close(n)
         node = Node(tag, top, _unwanted(tag, m[3] or ""))
         top.children.append(node)
         if tag in RAW:
             stop = re.compile(rf"</{re.escape(tag)}[^>]*>?", re.I).search(html, at)
             at = stop.end() if stop else end
-        elif tag not in VOID and not (m[3] or "").endswith("/") and node.depth < DEEPEST:
-            top = node
+        elif tag not in VOID and not (m[3] or "").endswith("/"):
+            open_(node)
     return root
 
 
@@ -189,6 +209,21 @@ def _points(chars: int, commas: int) -> float:
     return min(chars / 100, 30.0) + commas + (1.0 if chars >= 25 else 0.0)
 
 
+def keep_titles(root: Node) -> None:
+    """Keep the header of an article that holds a heading: it is the article's own, with its title, and not the page's."""
+    stack: list[tuple[Node, bool, Node | None]] = [(root, False, None)]
+    while stack:
+        n, inside, header = stack.pop()
+        if n.why == {"header"} and inside:
+            header = n
+        elif n.dropped:
+            continue
+        elif header is not None and n.tag in _HEADINGS:
+            header.dropped = False
+        inside = inside or n.tag == "article"
+        stack += [(c, inside, header) for c in n.children if not isinstance(c, str)]
+
+
 def rescue(root: Node) -> None:
     """Keep unwanted-looking elements that hold the article.
 
@@ -254,10 +289,7 @@ def score(root: Node) -> list[Node]:
         n.chars, n.linked = own, own if linked else 0
         points = 0.0 if linked or not own else _points(own, commas)
         # Inline elements hand their text's points to the block around them.
-        holder = n
-        while holder.parent is not None and holder.tag not in BLOCK:
-            holder = holder.parent
-        share, up = 1.0, holder.parent or holder
+        share, up = 1.0, n.holder.parent or n.holder
         while up is not None and points and share > 0.05:
             up.score += points * share
             share *= 0.5 if share == 1.0 else 0.6
@@ -278,6 +310,7 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     root = parse(html)
+    keep_titles(root)
     rescue(root)
     order = score(root)
     best = max(order, key=lambda n: n.score)
@@ -309,8 +342,17 @@ def _is_links(unit: list[Node | str]) -> bool:
     return sum(c.linked for c in unit if isinstance(c, Node)) >= LINKS * max(1, _chars(unit))
 
 
+def _heading(unit: list[Node | str]) -> bool:
+    return isinstance(unit[0], Node) and unit[0].tag in _HEADINGS
+
+
+def _list(unit: list[Node | str]) -> bool:
+    return isinstance(unit[0], Node) and unit[0].tag in ("ul", "ol", "dl")
+
+
 def container(best: Node) -> Node:
-    """The element that holds the article's parts, without children beside the best element that consist of links.
+    """The element that holds the article's parts, without children beside the best element that consist of links, but for
+    lists under a heading.
 
     The article or main element around the best one is complete. Otherwise it is the first element around it with any other
     text than links, or one further up as long as a score there comes close, or a paragraph is long.
@@ -335,10 +377,12 @@ def container(best: Node) -> Node:
     for k in range(1, last + 1):
         kept: list[list[Node | str]] = []
         after = False  # whether what follows is kept
+        filled = [u for u in parts[k] if _chars(u) or path[k - 1] in u]
+        titled = {id(u) for t, u in zip(filled, filled[1:]) if _heading(t) and not _is_links(t) and _list(u)}
         for u in reversed(parts[k]):
             if _chars(u) or path[k - 1] in u:
-                heading = isinstance(u[0], Node) and u[0].tag in _HEADINGS
-                after = path[k - 1] in u or near(u) or not _is_links(u) or heading and after
+                # A list of links right under a heading is the article's: its sources, say.
+                after = path[k - 1] in u or near(u) or not _is_links(u) or id(u) in titled or _heading(u) and after
             if after:
                 kept.append(u)
         path[k].children = [c for u in reversed(kept) for c in u]
