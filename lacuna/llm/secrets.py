@@ -4,7 +4,8 @@ Candidate strings are maximal runs of key characters, cut at the ``=`` before a
 slash within base64 is no cut. A window of ``WINDOW`` characters slides over each; the counts of the two characters that
 enter and leave update the sum of ``c * log2(c)``, from which the window's Shannon entropy follows in constant time. Each
 window has the first character class (lower-case hex, upper-case hex, mixed) that holds all of it, with a threshold of its
-own; windows above it are merged to spans by kind. Candidates on the allow-list are left alone.
+own; windows above it are merged to spans by kind. Candidates whose whole form is on the allow-list are left alone, and so are windows
+that touch a placeholder word; neither depends on what else a long candidate holds.
 """
 
 from __future__ import annotations
@@ -29,22 +30,21 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 ASSIGN_VALUE, ACCESS_LENGTH, HEX_LENGTH = 6, 20, 24
 WINDOW = 20
 
-#: What looks random but is no secret: UUIDs, digits only, placeholders, alphabets, words of one case joined by hyphens.
+#: Candidates that look random but are no secret: UUIDs, digits only, words or numbers joined by hyphens, and the key of many manuals.
 ALLOWED = (
-    r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", r"[0-9_+/=-]+", r"(?i).*(?:example|placeholder|changeme|dummy|xxxx).*",
-    r"(?i).*(?:0123456789|abcdefghij).*",
-    r"(?:(?:[A-Z]?[a-z0-9]{1,12}|[A-Z0-9]{1,12})[-_]){2,}(?:[A-Z]?[a-z0-9]{1,12}|[A-Z0-9]{1,12})",
+    r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", r"[0-9_+/=-]+",
+    r"(?:(?:[A-Z]?[a-z]{1,16}|[A-Z]{1,16}|[0-9]{1,12})[-_]){2,}(?:[A-Z]?[a-z]{1,16}|[A-Z]{1,16}|[0-9]{1,12})", r"[A-Za-z0-9+/]{0,33}EXAMPLE(?:KEY)?",
 )
+#: Words that no window may touch: placeholders and alphabets. What else a candidate holds is judged without them.
+PLACEHOLDERS = re.compile(r"example|placeholder|changeme|dummy|x{4,}|0123456789|abcdefghij", re.I)
 #: Segments between slashes as paths have them, and the bits per character by which random base64 is unlikelier to have them.
 #: Standard base64 has no hyphens and underscores.
 SEGMENTS = tuple((re.compile(p), bits) for p, bits in (
     (r"[0-9]+", 2.6), (r"[A-Z]?[a-z]+|[A-Z]+", 1.25), (r"[a-z0-9]+|[A-Z0-9]+", 0.8), (r"(?:[A-Z]?[a-z]{2,}|[A-Z]{2,}|[0-9]+)*", 0.0)))
 SLASH_BITS, PATH_BITS = 3.0, 10.0  # of one more slash; from which neighbouring segments are a path
-URL_REACH = 2048
 _VALUES = re.compile(r"=+(?=[^=]{20})")  # a shorter value holds no window of its own and stays with its name
 _TOKEN = re.compile(r"(?=.*[0-9])(?=.*[A-Za-z])[A-Za-z0-9+=]{12,}")
 _HEX_RUNS = tuple(re.compile(f"[{chars}]{{20,}}") for chars in ("0-9a-f", "0-9A-F"))
-_URL = re.compile(rb"://[^\s?#\"'<>]*$")
 _HOST, _HOST_END = re.compile(rb"[A-Za-z0-9-]\.$"), re.compile(r"[a-z]{2,10}/")
 
 
@@ -70,6 +70,7 @@ def _member(chars: str) -> np.ndarray:
     return out
 
 
+_URL_STOP = _member(" \t\n\r\f\v?#\"'<>")
 _HEX, _KEY, _DIGIT = _member(CLASSES[0].members), _member(CLASSES[2].members), _member("0123456789")
 _F = [0.0] + [c * math.log2(c) for c in range(1, 4096)]
 
@@ -195,15 +196,39 @@ class Scanner:
                 out[k].append((a - int(first[k]), b - int(first[k])))
         return out
 
-    def entropy(self, raw: bytes, a: int, b: int) -> list[tuple[str, int, int]]:
-        """Spans of one run, each candidate in it judged by itself."""
-        run, in_url = raw[a:b].decode(), False
-        if "/" in run:
-            before = raw[max(0, a - URL_REACH):a] + b"//" * run.startswith("//")
-            in_url = bool(_URL.search(before) or _HOST_END.match(run) and _HOST.search(before))
-        return [(kind, a + at + s, a + at + e) for at, found in candidates(run, in_url)
-                if len(found) >= WINDOW and not any(p.fullmatch(found.rstrip("=")) for p in self.allowed)
-                for kind, s, e in class_spans(found)]
+    def entropy(self, raw: bytes, runs: list[tuple[int, int]]) -> Iterator[tuple[str, int, int]]:
+        """Spans of the runs of a text, each candidate in them judged by itself."""
+        urls = self.in_urls(raw, runs)
+        for (a, b), in_url in zip(runs, urls):
+            run = raw[a:b].decode()
+            for at, found in candidates(run, in_url):
+                if len(found) < WINDOW or any(p.fullmatch(found.rstrip("=")) for p in self.allowed):
+                    continue
+                edges = [0, *(x for m in PLACEHOLDERS.finditer(found) for x in m.span()), len(found)]
+                for s, e in zip(edges[::2], edges[1::2]):
+                    if e - s >= WINDOW:
+                        yield from ((kind, a + at + s + x, a + at + s + y) for kind, x, y in class_spans(found[s:e]))
+
+    def in_urls(self, raw: bytes, runs: list[tuple[int, int]]) -> list[bool]:
+        """Whether each run with a slash is in a URL: its scheme is somewhere before, with nothing between that ends a URL."""
+        slashed = [b"/" in raw[a:b] for a, b in runs]
+        if not any(slashed):
+            return slashed
+        data = np.frombuffer(raw, np.uint8)
+        stops = np.flatnonzero(_URL_STOP[data])
+        schemes = np.flatnonzero((data[:-2] == 0x3A) & (data[1:-1] == 0x2F) & (data[2:] == 0x2F)) if len(data) > 2 else stops[:0]
+        out = []
+        for (a, b), slash in zip(runs, slashed):
+            found = False
+            if slash:
+                k = int(np.searchsorted(schemes, a - 3, "right"))
+                last = int(np.searchsorted(stops, a, "left"))
+                found = k > 0 and (last == 0 or stops[last - 1] < schemes[k - 1] + 3)
+                run = raw[a:b]
+                found = found or a > 0 and raw[a - 1:a] == b":" and run.startswith(b"//")
+                found = found or bool(_HOST_END.match(run.decode()) and _HOST.search(raw[max(0, a - 2):a]))
+            out.append(found)
+        return out
 
     def scan(self, texts: list[bytes]) -> list[list[tuple[int, int, int]]]:
         """Per text: (start, kind's index, end) in code points, sorted."""
@@ -216,7 +241,7 @@ class Scanner:
                 spans += [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[1]) >= ASSIGN_VALUE]
                 spans += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if len(m[0]) >= ACCESS_LENGTH]
             found = [(a, 2, b) for a, b in hex_runs]
-            found += [(s, KINDS.index(kind), e) for a, b in key_runs for kind, s, e in self.entropy(raw, a, b)]
+            found += [(s, KINDS.index(kind), e) for kind, s, e in self.entropy(raw, key_runs)]
             if found and not raw.isascii():
                 found.sort()
                 at = points = 0
