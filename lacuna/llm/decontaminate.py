@@ -86,8 +86,10 @@ def window_hits(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_i
         F.monotonically_increasing_id().alias("row"), ref(id_col).alias("id"),
         F.expr(f"transform(array({words}), w -> struct(size(w) AS n_words, {near} AS near))[0]").alias("found"))
     rows = read.select("row", "id", F.col("found.n_words").cast("long").alias("n_words"), F.explode_outer("found.near").alias("near"))
-    rows = rows.select("row", "id", "n_words", F.col("near.start").alias("start"), F.col("near.length").alias("length"),
-                       F.col("near.words").alias("words"))
+    # A row without candidates gets a key of its own that no window has, so that clean rows are spread where the join is shuffled.
+    nothing = F.concat(F.lit("\0"), F.col("row").cast("string"))
+    rows = rows.select("row", "id", "n_words", F.col("near.start").alias("start"), F.coalesce("near.length", F.lit(0)).alias("length"),
+                       F.coalesce("near.words", nothing).alias("words"))
     verified = rows.join(checked(windows, WINDOWS_BROADCAST), ["length", "words"], "left")
     hit = F.when(F.col("items").isNotNull(), F.struct("start", "length"))
     return verified.groupBy("row", "id", "n_words").agg(F.collect_set(hit).alias("hits"), F.collect_set("items").alias("items")).select(
