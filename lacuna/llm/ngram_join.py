@@ -292,7 +292,7 @@ def ngram_components(documents: DataFrame, id_col: str = "doc_id", text_col: str
         labels = _cluster(spark, source, measured, meta, total, words, percent, block_tokens)
     grouped = meta.where("n > 0")
     grouped = grouped.withColumn("g", F.col("sid")) if labels is None else attach_unique(
-        grouped, labels.withColumnRenamed("node", "sid"), ["sid"]).withColumn("g", F.coalesce("label", "sid"))
+        grouped, labels.withColumnRenamed("node", "sid"), ["sid"], weight="copies").drop("copies").withColumn("g", F.coalesce("label", "sid"))
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key"))
     least = durable(grouped.groupBy("g").agg(first.alias("first"), F.count("*").alias("size")).select(
         "g", "size", F.col("first.id").alias("component_id"), F.col("first.key").alias("keep")))
@@ -305,7 +305,7 @@ def ngram_components(documents: DataFrame, id_col: str = "doc_id", text_col: str
 
 def _cluster(spark, source: DataFrame, measured: DataFrame, meta: DataFrame, total: int, words: int, percent: int,
              block_tokens: int) -> DataFrame | None:
-    """node, label of all sets that similar sets hold together; None if there are no candidates."""
+    """node, label, copies (rows) of all sets that similar sets hold together; None if there are no candidates."""
     counts = _sketch(measured)
     hot = 4 * total / len(counts) + 1000
     level = np.where(counts > hot, np.ceil(4 * np.log2(np.maximum(counts, 1))), 0).astype(np.uint8)
@@ -317,8 +317,8 @@ def _cluster(spark, source: DataFrame, measured: DataFrame, meta: DataFrame, tot
     edges = attach_unique(prefixes.select("token", "sid"), hubs, ["token"], weight="times").where("hub IS NOT NULL AND sid != hub")
     clusters = components(edges.select(F.col("sid").alias("a"), F.col("hub").alias("b")))
     members = durable(clusters.unionByName(clusters.select(F.col("label").alias("node"), "label").distinct())
-                      .join(meta.where("n > 0").groupBy("sid").agg(F.max("n").alias("n"), F.min("id").alias("id")),
-                            F.col("node") == F.col("sid")).select("sid", "n", "id", F.col("label").alias("cluster")))
+                      .join(meta.where("n > 0").groupBy("sid").agg(F.max("n").alias("n"), F.min("id").alias("id"), F.count("*").alias("copies")),
+                            F.col("node") == F.col("sid")).select("sid", "n", "id", "copies", F.col("label").alias("cluster")))
     if members.limit(1).count() == 0:
         return None
     wanted = members.select(F.col("id").alias("wanted")).distinct()
@@ -332,7 +332,9 @@ def _cluster(spark, source: DataFrame, measured: DataFrame, meta: DataFrame, tot
                                                   pa.array([k.astype("<u8").tobytes() for k in sets], pa.binary())], names=["sid", "keys"])
 
     texts = source.join(checked(wanted, IDS_BROADCAST), F.col("id").eqNullSafe(F.col("wanted")), "left_semi").select("text")
-    sets = texts.mapInArrow(rebuild, "sid binary, keys binary")
+    # Rows with one text, or with NULL and repeated ids, give one set each task.
+    sets = texts.mapInArrow(rebuild, "sid binary, keys binary").groupBy("sid").agg(F.first("keys").alias("keys"))
     sums = members.groupBy("cluster").agg(F.sum("n").alias("tokens"))
     clustered = durable(members.select("sid", "n", "cluster").join(sums, "cluster").join(sets, "sid"))
-    return _labels(clustered, percent, block_tokens)
+    labels = _labels(clustered, percent, block_tokens)
+    return durable(labels.join(members.select(F.col("sid").alias("node"), "copies"), "node"))
