@@ -140,8 +140,9 @@ class Codec:
         return b"".join([*out, self.segment(text[at:])])
 
     def decode(self, ids: bytes) -> bytes:
-        """UTF-8 bytes that the ids spell, with replacement characters where they are not UTF-8."""
-        raw = b"".join(map(self.spell.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        """UTF-8 bytes that the ids spell, with replacement characters where they are not UTF-8; ids outside the vocabulary spell nothing."""
+        known = np.frombuffer(ids, "<u4")
+        raw = b"".join(map(self.spell.__getitem__, known[known < len(self.spell)].tolist()))
         return raw.decode("utf-8", "replace").encode()
 
 
@@ -169,7 +170,10 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
 
 
 def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
-    """``id_col`` and text of each row's ids; NULL ids spell the empty text."""
+    """``id_col`` and text of each row's ids; NULL ids spell the empty text, ids outside the vocabulary nothing.
+
+    One row for each row that goes in, NULL and repeated ``id_col`` included; other columns are not read.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(path)

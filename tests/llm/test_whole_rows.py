@@ -148,3 +148,27 @@ def test_allow_list_judges_parts():
             text = "".join(rng.choice(chars) for _ in range(size))
             spans = scanner.scan([text.encode()])[0]
             assert sum(b - a for a, k, b in spans if k >= 3) > 0.9 * size
+
+
+@pytest.mark.parametrize("broadcast", [0, 100_000])
+def test_contamination_with_and_without_broadcast(spark, monkeypatch, broadcast):
+    from lacuna.llm import decontaminate
+
+    monkeypatch.setattr(decontaminate, "WINDOWS_BROADCAST", broadcast)
+    items = [("a", cases.prose(2, 60)), ("b", "one two"), ("c", None), (None, cases.prose(3, 12))]
+    rows = cases.documents()
+    found = decontaminate.find_contaminated(cases.frame(spark, rows), cases.frame(spark, items, ("item_id", "text"), ("string", "string")))
+    assert cases.rows_of(found) == sorted(cases.contaminated(rows, items), key=repr)
+
+
+def test_ids_outside_the_vocabulary_spell_nothing(spark):
+    import numpy as np
+    import public_tokenizers
+
+    from lacuna.llm import bpe
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    ids = bpe.encode(spark.createDataFrame([(1, "some words"), (1, "some words")], "doc_id int, text string"), path)
+    odd = [(r.doc_id, bytes(r.ids) + np.array([10**9, 2**32 - 1], "<u4").tobytes()) for r in ids.collect()]
+    got = bpe.decode(spark.createDataFrame([*odd, (None, None)], "doc_id int, ids binary"), path)
+    assert sorted((r.doc_id, r.text) for r in got.collect() if r.doc_id) == [(1, "some words")] * 2
