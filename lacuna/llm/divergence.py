@@ -2,7 +2,7 @@
 
 Only terms in several documents count, and most different terms of a corpus are not among them. They are found by prefix refinement:
 a prefix is in at least as many documents as anything that extends it, so a prefix in too few documents ends the search
-below it. Each level extends the prefixes that are left (2, 4, 8, ... bytes), counts the documents of each, and drops
+below it. Each level extends the prefixes that are left (4, 8, 16, ... bytes), counts the documents of each, and drops
 those below the threshold, until only complete terms are left; a term is complete at the first level that is as long as it.
 
 1. One pass cuts the texts. Each chunk (some MB of text) keeps its different terms and, for each, its documents and counts.
@@ -37,7 +37,7 @@ MIN_DOCUMENTS = 3
 TERM_RANKS = 200
 #: Fixed value: shares are counted in parts of this.
 SCALE = 10**9
-FIRST_LENGTH = 2
+FIRST_LENGTH = 4
 CHUNK_BYTES = 12 << 20
 CHUNK_DOCUMENTS = 65_000
 BIT_SET = 26  # bits of a prefix's place in the bit set
