@@ -67,7 +67,7 @@ def test_stages(spark, sf_dir):
 def test_sql(spark, name):
     sf = "/root/testdata/sf0.001"
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark"):
+    for t in ("documents", "pages", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
     cursor = con.execute(ORACLE[name])
     names = [d[0] for d in cursor.description]
