@@ -9,8 +9,8 @@ unrelated documents do. The way to that order and on to the links:
    its range. Owners know which tokens several documents share, and how many, and answer the chunks with these.
    A document whose unshared tokens fill its prefix can have no partner and is out; most are.
 3. The rest list their prefix tokens. Documents with a common one are candidates of one cluster.
-4. Only candidates' texts are read again; their sets meet by cluster and are joined in tries. A cluster with more than
-   ``BLOCK_TOKENS`` tokens is joined in blocks.
+4. Only candidates' texts are read again; their sets meet by cluster and are joined in tries. In a cluster with more than
+   ``BLOCK_TOKENS`` tokens they meet by the prefix tokens they share, after one block has met all others.
 
 Sets are compared by 64-bit hashes of their n-grams.
 """
@@ -45,7 +45,6 @@ CHUNK_TEXTS = 60_000
 OWNER_TOKENS = 1_500_000
 BLOCK_TOKENS = 500_000
 IDS_BROADCAST = 500_000
-CLUSTERS_BROADCAST = 10_000
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F,
                                0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
@@ -239,35 +238,58 @@ def _join_sets(rows: DataFrame, percent: int) -> DataFrame:
     return rows.select("cluster", "x", "y", "sid", "keys").groupBy("cluster", "x", "y").applyInArrow(work, "a binary, b binary")
 
 
-def _labels(clustered: DataFrame, percent: int, block_tokens: int) -> DataFrame:
+def _labels(clustered: DataFrame, percent: int, block_tokens: int, prefixes: DataFrame | None = None) -> DataFrame:
     """node, label of the sets that similar ones hold together. ``clustered``: cluster, tokens (its total), sid, n, keys; written, since it is read again.
 
-    A large cluster's sets are dealt into blocks. Block 0 meets every block; groups that this joins need no more
-    comparison among themselves. What is left outside its block-0 group (usually little) then meets all blocks.
+    A large cluster's sets are dealt into blocks, and block 0 meets every block, which joins what is similar to many. Then sets meet by
+    the tokens of ``prefixes`` (token, sid), of which similar sets have one in common; without it, by cluster. Of
+    tokens with the same sets one counts, and one whose sets are joined already needs no comparison. If a token's sets are too many for
+    one task, those outside the heaviest joined group meet all of them in blocks.
     """
     none = F.lit(0)
     small = _join_sets(clustered.where(F.col("tokens") <= block_tokens).select("cluster", none.alias("x"), none.alias("y"), "sid", "keys"),
                        percent)
     large = clustered.where(F.col("tokens") > block_tokens).withColumn("blocks", F.ceil(F.col("tokens") / (block_tokens / 2)).cast("int"))
-    large = large.withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
     if large.limit(1).count() == 0:  # every group was whole in one task
         return durable(small.select(F.col("b").alias("node"), F.col("a").alias("label")))
-    to_all = F.when(F.col("block") == 0, F.sequence(none, F.col("blocks") - 1)).otherwise(F.array("block"))
+    block = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
+    to_all = F.when(block == 0, F.sequence(none, F.col("blocks") - 1)).otherwise(F.array(block))
     near = durable(_join_sets(large.select("cluster", none.alias("x"), F.explode(to_all).alias("y"), "sid", "keys"), percent))
     labels = components(near)
-    marked = large.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
-    sizes = marked.groupBy("cluster", "label").agg(F.sum("n").alias("weight"))
-    main = sizes.groupBy("cluster").agg(F.max_by("label", F.struct("weight", "label")).alias("main"))
-    rest = marked.join(checked(main, CLUSTERS_BROADCAST), "cluster").withColumn("out", F.col("label") != F.col("main"))
-    # Sets outside the main group are few blocks of their own; each meets every block of its cluster.
-    totals = rest.groupBy("cluster").agg(F.sum(F.when(F.col("out"), F.col("n"))).alias("out_tokens"))
-    rest = rest.join(checked(totals, CLUSTERS_BROADCAST), "cluster")
-    outs = F.ceil(F.coalesce("out_tokens", F.lit(0)) / (block_tokens / 2)).cast("int")
-    rest = rest.withColumn("outs", outs).where("outs > 0")
-    mine = F.pmod(F.xxhash64("sid", F.lit(1)), F.col("outs")).cast("int")
-    as_out = rest.where("out").select("cluster", mine.alias("x"), F.explode(F.sequence(none, F.col("blocks") - 1)).alias("y"), "sid", "keys")
-    as_any = rest.select("cluster", F.explode(F.sequence(none, F.col("outs") - 1)).alias("x"), F.col("block").alias("y"), "sid", "keys")
-    return components(small.unionByName(near).unionByName(_join_sets(as_out.unionByName(as_any), percent)))
+    marked = large.select("cluster", "sid", "n").join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn(
+        "label", F.coalesce("label", "sid"))
+    if prefixes is not None:
+        marked = prefixes.select(F.col("token").alias("cluster"), "sid").distinct().join(marked.drop("cluster"), "sid")
+    met = _meetings(durable(marked), block_tokens).join(large.select("sid", "keys"), "sid")
+    return components(small.unionByName(near).unionByName(_join_sets(met, percent)))
+
+
+def _meetings(marked: DataFrame, block_tokens: int) -> DataFrame:
+    """cluster, x, y, sid: groups of bounded size in which all sets of one cluster meet that have different labels.
+
+    ``marked``: cluster, sid, n, label, each pair of cluster and set once. A cluster's sets outside its heaviest label are dealt into few blocks
+    (x), each of which meets every block (y) of the cluster.
+    """
+    named = marked.groupBy("cluster", "label").agg(
+        F.sum("n").alias("n"), F.count("*").alias("sets"), F.min("sid").alias("low"), F.max("sid").alias("high"),
+        F.expr("bit_xor(xxhash64(sid))").alias("print"))
+    whole = named.groupBy("cluster").agg(
+        F.sum("n").alias("total"), F.sum("sets").alias("sets"), F.min("low").alias("low"), F.max("high").alias("high"),
+        F.expr("bit_xor(print)").alias("print"), F.count("*").alias("labels"), F.max("n").alias("heaviest"),
+        F.max_by("label", F.struct("n", "label")).alias("main")).where("labels > 1")
+    one = durable(whole.groupBy("sets", "low", "high", "print").agg(
+        F.min("cluster").alias("cluster"), F.first("total").alias("total"), F.first("heaviest").alias("heaviest"), F.first("main").alias("main")))
+    half = block_tokens / 2
+    fits = F.col("total") <= block_tokens
+    one = one.select("cluster", "sets", "main", F.when(fits, 1).otherwise(F.ceil(F.col("total") / half)).cast("int").alias("blocks"),
+                     F.when(fits, 1).otherwise(F.ceil((F.col("total") - F.col("heaviest")) / half)).cast("int").alias("outs"))
+    rows = attach_unique(marked, one, ["cluster"], weight="sets").where("main IS NOT NULL")
+    block, out = (F.pmod(F.xxhash64("sid", F.lit(salt)), F.col(n)).cast("int") for salt, n in ((2, "blocks"), (1, "outs")))
+    as_any = F.transform(F.sequence(F.lit(0), F.col("outs") - 1), lambda x: F.struct(x.alias("x"), F.col("block").alias("y")))
+    as_out = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda y: F.struct(F.col("out").alias("x"), y.alias("y")))
+    places = F.when(F.col("label") == F.col("main"), as_any).otherwise(F.array_union(as_any, as_out))
+    return (rows.withColumns({"block": block, "out": out}).select("cluster", "sid", F.explode(places).alias("place"))
+            .select("cluster", "place.x", "place.y", "sid"))
 
 
 def ngram_components(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT,
@@ -336,5 +358,5 @@ def _cluster(spark, source: DataFrame, measured: DataFrame, meta: DataFrame, tot
     sets = texts.mapInArrow(rebuild, "sid binary, keys binary").groupBy("sid").agg(F.first("keys").alias("keys"))
     sums = members.groupBy("cluster").agg(F.sum("n").alias("tokens"))
     clustered = durable(members.select("sid", "n", "cluster").join(sums, "cluster").join(sets, "sid"))
-    labels = _labels(clustered, percent, block_tokens)
+    labels = _labels(clustered, percent, block_tokens, prefixes)
     return durable(labels.join(members.select(F.col("sid").alias("node"), "copies"), "node"))

@@ -1,3 +1,6 @@
+import random
+from collections import defaultdict
+
 import cases
 import numpy as np
 import pytest
@@ -6,7 +9,8 @@ from hypothesis import strategies as st
 
 from lacuna.llm.exact_dedup import exact_dedup, golomb_decode, golomb_encode
 from lacuna.llm.components import components
-from lacuna.llm.ngram_join import ngram_components
+from lacuna.llm import ngram_join
+from lacuna.llm.ngram_join import _meetings, ngram_components
 from lacuna.llm.suffix_dedup import column_order, drop_repeats
 from lacuna.llm.trie import Forest, similar_links
 
@@ -40,6 +44,47 @@ def test_ngram_components_in_blocks(spark):
     assert cases.rows_of(got) == sorted(cases.components(rows, 5, 80), key=repr)
 
 
+def templates(pages: int) -> list[tuple[int, str]]:
+    """Pages of passages from one small pool, which makes one cluster of candidates, and a near copy of every 20th."""
+    rng = random.Random(4)
+    pool = [cases.prose(1000 + k, 40) for k in range(60)]
+    rows = [(k, " ".join(rng.choice(pool) for _ in range(8))) for k in range(pages)]
+    return rows + [(1000 + k, text.replace(text.split(" ")[20], f"other{k}")) for k, text in rows[::20]] + [(5000, rows[0][1]), (None, rows[1][1])]
+
+
+def test_ngram_components_of_templates(spark, monkeypatch):
+    moved = []
+    plain = ngram_join._join_sets
+    monkeypatch.setattr(ngram_join, "_join_sets", lambda rows, percent: (moved.append(rows), plain(rows, percent))[1])
+    rows = templates(300)
+    got = ngram_components(cases.frame(spark, rows), block_tokens=8_000)
+    assert cases.rows_of(got) == sorted(cases.components(rows, 4, 85), key=repr)
+    assert len(moved) == 3  # small clusters, the first block, shared prefix tokens
+    # All sets in blocks against all would move each set some 30 times.
+    assert sum(m.count() for m in moved) < 12 * len(rows)
+
+
+def test_meetings_bring_all_labels_together(spark):
+    rng = random.Random(7)
+    rows = [(c, f"{s:03}".encode(), rng.randint(1, 30), f"{rng.choice([0, 0, 0, s]):03}".encode())
+            for c in range(6) for s in rng.sample(range(90), 5 + 15 * c)]
+    rows += [(9, *r[1:]) for r in rows if r[0] == 5]  # the same sets under another token
+    rows += [(7, b"a", 5, b"a"), (7, b"b", 5, b"a"), (8, b"a", 900, b"a")]  # joined already, and alone
+    label = {(c, s): l for c, s, _, l in rows}
+    weight = {(c, s): n for c, s, n, _ in rows}
+    marked = spark.createDataFrame(rows, "cluster long, sid binary, n long, label binary")
+    groups = defaultdict(set)
+    for r in _meetings(marked, 100).collect():
+        assert bytes(r.sid) not in groups[r.cluster, r.x, r.y]
+        groups[r.cluster, r.x, r.y].add(bytes(r.sid))
+    assert {c for c, _, _ in groups} == {0, 1, 2, 3, 4, 5}
+    met = {(c, a, b) for (c, _, _), sids in groups.items() for a in sids for b in sids}
+    for c in range(6):
+        sids = [s for k, s in label if k == c]
+        assert all((c, a, b) in met for a in sids for b in sids if label[c, a] != label[c, b])
+    assert max(sum(weight[c, s] for s in sids) for (c, _, _), sids in groups.items()) < 400
+
+
 @pytest.mark.parametrize("hot", [20_000, 3])
 def test_drop_repeats(spark, hot):
     rows = cases.documents()
