@@ -7,7 +7,8 @@
 4. Senders mark their suspects. Only suspect texts are shuffled, one row per text and task, and compared byte by byte.
 
 A text that a third of all rows share is one fingerprint at each sender and one row of the verification per task. Senders
-and owners follow the number of rows, so that none holds more than about ``ROWS_PER_SENDER``.
+and owners follow the number of rows, and each task's rows are dealt to senders in runs of ``ROWS_PER_SENDER / RUNS``, so that
+none holds much more than ``ROWS_PER_SENDER``, however uneven the tasks are.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from lacuna.llm.tables import checked, slots
 
 EXTRA_BITS = 20  # fingerprints this much longer than needed to count rows: about 1 in 2**20 unique rows is a false suspect
 ROWS_PER_SENDER = 2_000_000
+RUNS = 8
 KEYS_BROADCAST = 250_000
 
 
@@ -78,7 +80,8 @@ def _owner(prints: np.ndarray, bits: int, owners: int) -> np.ndarray:
     return ((prints >> np.uint64(bits - 32)) * np.uint64(owners)) >> np.uint64(32)
 
 
-def exact_dedup(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", key_col: str | None = None) -> DataFrame:
+def exact_dedup(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", key_col: str | None = None,
+                rows_per_sender: int = ROWS_PER_SENDER) -> DataFrame:
     """One row per row: ``id_col`` (and ``key_col``), keep_id, group_size, kept, text_sha256.
 
     Texts are equal when they are after each run of ASCII white space becomes one space; NULL counts as empty. Of equal
@@ -89,12 +92,14 @@ def exact_dedup(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
     spark = documents.sparkSession
     text = normalised(ref(text_col))
     key = F.monotonically_increasing_id() if key_col is None else ref(key_col)
+    place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)  # of the row in its task
     prepared = durable(documents.select(
-        key.alias("key"), ref(id_col).alias("id"), F.unhex(F.sha2(text, 256)).alias("sha"), F.spark_partition_id().alias("part")))
+        key.alias("key"), ref(id_col).alias("id"), F.unhex(F.sha2(text, 256)).alias("sha"),
+        (F.spark_partition_id() + F.floor(place / max(1, rows_per_sender // RUNS))).alias("run")))
     rows = prepared.count()
-    groups = max(slots(spark), -(-rows // ROWS_PER_SENDER))
+    groups = max(slots(spark), -(-rows // rows_per_sender))
     bits = min(62, max(34, rows.bit_length() + EXTRA_BITS))
-    held = prepared.select(F.pmod("part", F.lit(groups)).alias("sender"), "key", "id", "sha")
+    held = prepared.select(F.pmod("run", F.lit(groups)).cast("int").alias("sender"), "key", "id", "sha")
 
     def send(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         prints = np.unique(np.concatenate([_prints(b.column("sha"), bits) for b in batches]))

@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 
 from lacuna.llm.exact_dedup import exact_dedup, golomb_decode, golomb_encode
 from lacuna.llm.components import components
+from lacuna.llm import exact_dedup as exact_dedup_module
 from lacuna.llm import ngram_join
 from lacuna.llm.ngram_join import _meetings, ngram_components
 from lacuna.llm.suffix_dedup import column_order, drop_repeats
@@ -31,6 +32,16 @@ def test_exact_dedup(spark):
     assert all(r.doc_id == r.keep_id for r in kept)
 
 
+def test_exact_dedup_deals_one_task_to_many_senders(spark, monkeypatch):
+    held = []
+    plain = exact_dedup_module.durable
+    monkeypatch.setattr(exact_dedup_module, "durable", lambda df: (held.append(plain(df)), held[-1])[1])
+    rows = [(k, f"text {k % 700}") for k in range(2_000)]
+    got = exact_dedup(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), rows_per_sender=100).collect()
+    assert sorted((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in got) == sorted(cases.dedup(rows)[0])
+    assert held[0].selectExpr("run % 20 AS sender").groupBy("sender").count().agg({"count": "max"}).first()[0] <= 2 * 100
+
+
 def test_ngram_components(spark):
     rows = cases.documents()
     df = cases.frame(spark, rows)
