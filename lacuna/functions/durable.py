@@ -34,6 +34,19 @@ def durable(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def durable_buckets(df: DataFrame, column: str, buckets: int) -> DataFrame:
+    """Like ``durable``, but in ``buckets`` by the hash of ``column``, so that grouping by it later needs no shuffle.
+
+    Each task writes one file for each bucket it has rows of: meant for a ``column`` with few values in a task. The
+    files are in the checkpoint folder; the session's catalog keeps a name for them.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "buckets")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    df.write.format("parquet").bucketBy(buckets, column).option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
 def local_table(spark: SparkSession, rows: Sequence, schema: T.StructType | str) -> DataFrame:
     """A local relation from a few driver-side rows; through Arrow, so that no tasks are scheduled for it."""
     if isinstance(schema, str):
