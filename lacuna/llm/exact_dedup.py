@@ -1,7 +1,8 @@
 """Exact duplicates by exchanging compressed fingerprints, not texts.
 
-1. Every row gets the SHA-256 of its normalised text; its leading bits are the fingerprint.
-2. Rows are held by senders. A sender sorts its distinct fingerprints and sends each owner (a range of fingerprints) its
+1. Every row gets the SHA-256 of its normalised text; its leading bits are the fingerprint. The task that reads a row
+   writes both to the bucket of the row's sender, so no digest is shuffled.
+2. A sender reads its bucket, sorts its distinct fingerprints and sends each owner (a range of fingerprints) its
    part, Golomb-coded: about ``EXTRA_BITS`` + 2 bits for each.
 3. An owner merges what it received and answers each sender with a bitmap: which fingerprints others have too.
 4. Senders mark their suspects. Only suspect texts are shuffled, one row per text and task, and compared byte by byte.
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lacuna.functions.columns import ref
-from lacuna.functions.durable import durable
+from lacuna.functions.durable import durable, durable_buckets
 from lacuna.functions.joins import attach_unique
 from lacuna.llm.tables import checked, slots
 
@@ -93,13 +94,13 @@ def exact_dedup(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
     text = normalised(ref(text_col))
     key = F.monotonically_increasing_id() if key_col is None else ref(key_col)
     place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)  # of the row in its task
-    prepared = durable(documents.select(
-        key.alias("key"), ref(id_col).alias("id"), F.unhex(F.sha2(text, 256)).alias("sha"),
-        (F.spark_partition_id() + F.floor(place / max(1, rows_per_sender // RUNS))).alias("run")))
-    rows = prepared.count()
+    run = F.spark_partition_id() + F.floor(place / max(1, rows_per_sender // RUNS))
+    rows = documents.count()
     groups = max(slots(spark), -(-rows // rows_per_sender))
     bits = min(62, max(34, rows.bit_length() + EXTRA_BITS))
-    held = prepared.select(F.pmod("run", F.lit(groups)).cast("int").alias("sender"), "key", "id", "sha")
+    held = durable_buckets(documents.select(
+        F.pmod(run, F.lit(groups)).cast("int").alias("sender"), key.alias("key"), ref(id_col).alias("id"),
+        F.unhex(F.sha2(text, 256)).alias("sha")), "sender", groups)
 
     def send(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         prints = np.unique(np.concatenate([_prints(b.column("sha"), bits) for b in batches]))

@@ -33,13 +33,16 @@ def test_exact_dedup(spark):
 
 
 def test_exact_dedup_deals_one_task_to_many_senders(spark, monkeypatch):
-    held = []
-    plain = exact_dedup_module.durable
-    monkeypatch.setattr(exact_dedup_module, "durable", lambda df: (held.append(plain(df)), held[-1])[1])
+    held, plans = [], []
+    buckets, plain = exact_dedup_module.durable_buckets, exact_dedup_module.durable
+    monkeypatch.setattr(exact_dedup_module, "durable_buckets", lambda *a: (held.append(buckets(*a)), held[-1])[1])
+    monkeypatch.setattr(exact_dedup_module, "durable", lambda df: (
+        plans.append(df._jdf.queryExecution().executedPlan().toString()), plain(df))[1])
     rows = [(k, f"text {k % 700}") for k in range(2_000)]
     got = exact_dedup(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), rows_per_sender=100).collect()
     assert sorted((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in got) == sorted(cases.dedup(rows)[0])
-    assert held[0].selectExpr("run % 20 AS sender").groupBy("sender").count().agg({"count": "max"}).first()[0] <= 2 * 100
+    assert held[0].groupBy("sender").count().agg({"count": "max"}).first()[0] <= 2 * 100
+    assert plans[0].count("Exchange hashpartitioning") == 2  # messages and bitmaps, not the rows
 
 
 def test_ngram_components(spark):
