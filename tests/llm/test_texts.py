@@ -282,6 +282,21 @@ def test_bpe_tree():
         assert np.frombuffer(codec.encode(t), "<u4").tolist() == lib.encode(t, add_special_tokens=False).ids, t[:20]
 
 
+def test_bpe_long_texts_in_rows(spark):
+    from tokenizers import Tokenizer
+
+    lib, rng = Tokenizer.from_file(BYTES), random.Random(21)
+    letters = "".join(rng.choice("etaoinshr") for _ in range(40_000))
+    spaces = "".join(rng.choice(["a", "é", " ", "  ", "\n", "\t ", "12", "'s", "don't", "🙂", "<|endoftext|>", ", "]) for _ in range(4_000))
+    rows = [(1, letters), (2, "a" * 20_001), (None, letters), (3, spaces), (4, spaces[:900] + letters[:9_000] + " " + spaces + "é" * 5_000),
+            (5, " " * 3_000 + "x" + "\n" * 3_001), (5, "<|endoftext|>" * 300), (6, None), (7, ""), (8, "short"), (9, "ing=" * 6_000)]
+    got = bpe.encode(cases.frame(spark, rows), BYTES, long_bytes=1_000, piece_bytes=300).collect()
+    expected = [(i, lib.encode(t or "", add_special_tokens=False).ids) for i, t in rows]
+    assert sorted(((r.doc_id, np.frombuffer(r.ids, "<u4").tolist()) for r in got), key=repr) == sorted(expected, key=repr)
+    both = [bpe.round_trip(cases.frame(spark, rows), BYTES, with_ids=True, **sizes) for sizes in ({}, {"long_bytes": 1_000, "piece_bytes": 700})]
+    assert cases.rows_of(both[0]) == cases.rows_of(both[1]) and both[0].schema == both[1].schema
+
+
 def test_quality(spark):
     rng = random.Random(4)
     good = [(k, cases.prose(1000 + k, rng.randint(20, 80))) for k in range(150)]
