@@ -20,6 +20,7 @@ import re
 import sys
 from array import array
 from collections.abc import Callable, Iterator, Sequence
+from functools import cache
 from itertools import groupby
 
 import numpy as np
@@ -202,6 +203,11 @@ def _mapped(df: DataFrame, id_col: str, value_col: str, work: Callable, schema:
     return rows.mapInArrow(work, f"id {kind}, {schema}").withColumnRenamed("id", id_col)
 
 
+def _loader(path: str) -> Callable[[], Codec]:
+    """The codec, loaded when a task first has a row for it: of the tasks that join, most have none."""
+    return cache(lambda: Codec(path))
+
+
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     for batch in batches:
         for k in range(batch.num_rows):
@@ -218,20 +224,20 @@ def _long_ids(texts: DataFrame, path: str, tasks: int, piece_bytes: int) -> Data
              *(pa.array([b], pa.binary()) for b in binary)], names=[*names, *(["raw", "behind"] if len(binary) > 1 else ["ids"])])
 
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(path)
+        codec = _loader(path)
         for key, text in _rows(batches):
-            for piece in codec.pieces(text, piece_bytes):
+            for piece in codec().pieces(text, piece_bytes):
                 yield batch(key, *piece)
 
     def encode_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(path)
+        codec = _loader(path)
         for key, word, place, cut, raw, behind in _rows(batches):
-            yield batch(key, word, place, cut, codec.piece(cut, raw, behind))
+            yield batch(key, word, place, cut, codec().piece(cut, raw, behind))
 
     def join_neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(path)
+        codec = _loader(path)
         for (key, word, place), rows in groupby(_rows(batches), lambda r: (r[0], r[1], r[2] // FAN)):
-            yield batch(key, word, place, True, ids_bytes(codec.joined([ids_array(r[4]) for r in rows])))
+            yield batch(key, word, place, True, ids_bytes(codec().joined([ids_array(r[4]) for r in rows])))
 
     def put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, rows in groupby(_rows(batches), lambda r: r[0]):
@@ -263,9 +269,9 @@ def _encoded(df: DataFrame, path: str, id_col: str, text_col: str, long_bytes: i
             yield pa.RecordBatch.from_arrays([part.column(0), *finish(codec, ids)], names=names)
 
     def finished(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(path)
+        codec = _loader(path)
         for part in _parts(batches, 1):
-            yield pa.RecordBatch.from_arrays([part.column(0), *finish(codec, part.column(1).to_pylist())], names=names)
+            yield pa.RecordBatch.from_arrays([part.column(0), *finish(codec(), part.column(1).to_pylist())], names=names)
 
     size = F.coalesce(F.octet_length(ref(text_col)), F.lit(0))
     long = durable(df.where(size > long_bytes).select(
