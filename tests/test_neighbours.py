@@ -5,7 +5,9 @@ import random
 
 import pytest
 
-from lacuna.operators.neighbours import knn_predictions
+from pyspark.sql import functions as F
+
+from lacuna.operators.neighbours import _coded, _survey, knn_predictions
 
 
 def brute(rows, k):
@@ -82,3 +84,22 @@ def test_no_pair_of_all_rows_in_the_plan(spark):
     df = spark.createDataFrame(clusters(300, 4), "id bigint, y double, a double, b double")
     plan = knn_predictions(df, "id", "y", ["a", "b"], 3, leaf=8)._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def strip(spark, n=4000):
+    """A long and narrow cloud: a running number, and a code of 25 values."""
+    rows = [(i, "", float(i), float(i * 7 % 25), None if i % 9 == 5 else float(i * 31 % 1000)) for i in range(n)]
+    return spark.createDataFrame(rows, "id bigint, block string, x0 double, x1 double, y double")
+
+
+def test_a_narrow_coordinate_is_split_after_a_wide_one(spark):
+    base = strip(spark)
+    donors = _coded(base.where("y is not null"), _survey(base, ["x0", "x1"]), ["x0", "x1"])
+    boxes = donors.groupBy(F.substring("code", 1, 6)).agg((F.max("x0") - F.min("x0")).alias("long"), F.count_distinct("x1").alias("codes")).collect()
+    assert len(boxes) > 40 and all(b["long"] < 200 and b["codes"] == 25 for b in boxes)
+
+
+def test_a_missing_coordinate_takes_no_bits(spark):
+    base = strip(spark)
+    donors = _coded(base.where("y is not null").withColumn("x0", F.lit(None).cast("double")), _survey(base, ["x0", "x1"]), ["x0", "x1"])
+    assert donors.select(F.substring("code", 1, 5)).distinct().count() > 20
