@@ -7,7 +7,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from lacuna.operators.neighbours import _coded, _survey, knn_predictions
+from lacuna.operators.neighbours import _coded, _survey, knn_predictions, nearest_donors
 
 
 def brute(rows, k):
@@ -103,3 +103,38 @@ def test_a_missing_coordinate_takes_no_bits(spark):
     base = strip(spark)
     donors = _coded(base.where("y is not null").withColumn("x0", F.lit(None).cast("double")), _survey(base, ["x0", "x1"]), ["x0", "x1"])
     assert donors.select(F.substring("code", 1, 5)).distinct().count() > 20
+
+
+def nodes(plan):
+    yield plan
+    kind = plan.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        yield from nodes(plan.executedPlan())
+    elif kind.endswith("QueryStageExec"):
+        yield from nodes(plan.plan())
+    below = plan.children()
+    for i in range(below.size()):
+        yield from nodes(below.apply(i))
+
+
+def test_receivers_do_not_meet_donors_as_rows(spark):
+    base = strip(spark)
+    near = nearest_donors(base, _survey(base, ["x0", "x1"]), 2, 3, leaf=128)
+    found = near.count(), near.collect()
+    receivers = base.where("y is null").count()
+    assert found[0] == len(found[1]) == 3 * receivers
+    most = 0
+    for node in nodes(near._jdf.queryExecution().executedPlan()):
+        rows = node.metrics().get("numOutputRows")
+        most = max(most, rows.get().value()) if rows.isDefined() else most
+    assert 3 * receivers <= most <= 40 * receivers
+
+
+def test_crowded_cells_of_the_last_level(spark):
+    """Half of the donors are closer together than the grid can tell."""
+    rng = random.Random(5)
+    rows = [(i, None if i % 5 == 0 else float(i), 1.0 + rng.random() * 1e-9 if i % 2 else rng.uniform(-1e6, 1e6)) for i in range(300)]
+    df = spark.createDataFrame(rows, "id bigint, y double, a double")
+    found = {r["row_id"]: r["prediction"] for r in knn_predictions(df, "id", "y", ["a"], 3, leaf=4).collect()}
+    expected = brute(rows, 3)
+    assert found.keys() == expected.keys() and all(abs(found[i] - expected[i]) < 1e-9 for i in expected)
